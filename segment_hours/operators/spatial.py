@@ -13,7 +13,7 @@ from segment_hours.session import cut_lineage
 
 # Search radius of each pass as a share of the widest one, and the radii on the unit sphere
 # (chords; 2 spans the globe).
-_LINE_LEVELS = (1 / 16, 1 / 4, 1.0)
+_LINE_LEVELS = (1 / 8, 1.0)
 _SPHERE_LEVELS = (2.0**-9, 2.0**-7, 2.0**-5, 2.0**-3, 2.0)
 # Covers are a little wider than the radius, so that rounding never loses a partner at its edge.
 _MARGIN = 1 + 1e-6

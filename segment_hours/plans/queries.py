@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segment_hours.config import DATE_KEYS, HOUR_KEYS, SEGMENT, WEATHER_FLAGS, WEATHER_ROLLING
+from segment_hours.config import DATE_KEYS, HOUR_KEYS, SEGMENT, WEATHER_FLAGS, WEATHER_ROLLING, Rolling
 from segment_hours.functions import geo, text, time
 from segment_hours.operators import basics, frame, incidents, model, schedule, spatial, spine, weather
 from segment_hours.operators.slices import SLICE
@@ -35,6 +35,11 @@ def _rounded(df, digits=4, columns=None):
     return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in names}) if names else df
 
 
+def _dates_as_text(df):
+    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
+    return df.withColumns({c: F.col(c).cast("string") for c in dates})
+
+
 def _publish(spark, df, root, key, name):
     """Writes ``df`` once, split by ``key``, and names each folder ``name(value)``."""
     df.write.partitionBy(key).format("csv").option("header", True).save(root)
@@ -202,14 +207,14 @@ def filter_time_range(spark, sf):
 @query
 def filter_interval_overlap(spark, sf):
     low, high = F.lit(dt.date(1997, 3, 1)), F.lit(dt.date(1998, 2, 28))
-    return basics.overlapping(fx.validity(spark, sf), "start_date", "end_date", low, high)
+    return _dates_as_text(basics.overlapping(fx.validity(spark, sf), "start_date", "end_date", low, high))
 
 
 @query
 def clamp_interval(spark, sf):
     low, high = F.lit(dt.date(1997, 3, 1)), F.lit(dt.date(1998, 2, 28))
     rows = basics.overlapping(fx.validity(spark, sf), "start_date", "end_date", low, high)
-    return basics.clamp_interval(rows, "start_date", "end_date", low, high)
+    return _dates_as_text(basics.clamp_interval(rows, "start_date", "end_date", low, high))
 
 
 @query
@@ -397,16 +402,16 @@ def label_totals(spark, sf):
 
 @query
 def rolling_range_features(spark, sf):
-    mean = weather.Rolling("prcp_amt", "mean", 12)
-    return _rounded(weather.rolling_features(fx.hourly_events(spark, sf), [*WEATHER_ROLLING, mean], []))
+    mean = Rolling("prcp_amt", "mean", 12)
+    return _rounded(weather.rolling_features(fx.hourly_events(spark, sf), [*WEATHER_ROLLING, mean], []), 8)
 
 
 @query
 def rolling_rows(spark, sf):
     """Rolling features of the event rows themselves, several of which may share an hour."""
     rows = fx.events(spark, sf).select(SEGMENT, "event_id", time.hour_floor(F.col("ts")).alias("ts"), "value")
-    wanted = [weather.Rolling("value", action, 24) for action in ("min", "max", "sum", "mean")]
-    return _rounded(weather.rolling_features(rows, wanted, [], collapse=True))
+    wanted = [Rolling("value", action, 24) for action in ("min", "max", "sum", "mean")]
+    return _rounded(weather.rolling_features(rows, wanted, [], collapse=True), 8)
 
 
 @query
@@ -451,54 +456,62 @@ def schedule_hops(spark, sf):
     return hops.select("train_id", "stanox_dep", "stanox_arr", "daysofweek", "dep_time")
 
 
+# line numbers a schedule may use in the text below; 100,000 schedules make a slice
+_LINES_PER_SCHEDULE = 10_000_000
+
+
 @query
 def timetable_lines_to_hops(spark, sf):
     """Fixed-width timetable text of all orders and line items, parsed back to hops."""
-    return schedule.schedule_hops(_timetable_lines(spark, sf)).select(
+    lines = _timetable_lines(spark, sf)
+    return schedule.schedule_hops(lines, lines_per_slice=100_000 * _LINES_PER_SCHEDULE).select(
         "train_id", "stanox_dep", "stanox_arr", "daysofweek", "dep_time", "start_date", "end_date"
     )
 
 
 def _timetable_lines(spark, sf):
-    items = fx.table(spark, sf, "lineitem")
-    stride = 10_000_000
-
     def padded(value, width):
         return F.rpad(value.cast("string"), width, " ")
 
+    def number(key, line=0):
+        return (key + 1) * _LINES_PER_SCHEDULE + line
+
+    code = F.when(F.col("s_suppkey") % 10 == 0, 0).otherwise(F.col("s_suppkey") + 10000)
     suppliers = fx.table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("line_no"),
         F.concat(
-            F.lit("TI"), padded(F.concat(F.lit("T"), "s_suppkey"), 7), F.lit(" " * 35),
-            F.lpad(F.when(F.col("s_suppkey") % 10 == 0, 0).otherwise(F.col("s_suppkey") + 10000).cast("string"), 5, "0"),
+            F.lit("TI"),
+            padded(F.concat(F.lit("T"), "s_suppkey"), 7),
+            F.lit(" " * 35),
+            F.lpad(code.cast("string"), 5, "0"),
         ).alias("line"),
     )
     schedules = fx.validity(spark, sf).select(
-        ((F.col("o_orderkey") + 1) * stride).alias("line_no"),
+        number(F.col("o_orderkey")).alias("line_no"),
         F.concat(
-            F.lit("BSN"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"), F.date_format("start_date", "yyMMdd"),
-            F.date_format("end_date", "yyMMdd"), "daysofweek", F.lit(" " * 13), F.lit("SERVICE1"),
+            F.lit("BSN"),
+            F.lpad(F.col("o_orderkey").cast("string"), 6, "0"),
+            F.date_format("start_date", "yyMMdd"),
+            F.date_format("end_date", "yyMMdd"),
+            "daysofweek",
+            F.lit(" " * 13),
+            F.lit("SERVICE1"),
         ).alias("line"),
     )
     minute = fx.dep_minute()
     dep, arr = text.minutes_hhmm(minute), text.minutes_hhmm((minute + 1435) % 1440)
-    kind = F.when(F.col("l_linenumber") == 1, "LO").when(F.col("l_linenumber") == 7, "LT").otherwise("LI")
+    stop = F.col("l_linenumber")
+    kind = F.when(stop == 1, "LO").when(stop == 7, "LT").otherwise("LI")
     times = F.when(kind == "LI", F.concat(arr, F.lit(" "), dep)).when(kind == "LO", dep).otherwise(arr)
-    stops = items.select(
-        (
-            (F.col("l_orderkey") + 1) * stride + 1 + F.col("l_linenumber") * 1_000_000 + _stop_rank()
-        ).alias("line_no"),
+    rank = (F.col("l_partkey") * 100 + F.col("l_suppkey")) % 1_000_000
+    stops = fx.table(spark, sf, "lineitem").select(
+        number(F.col("l_orderkey"), stop * 1_000_000 + rank).alias("line_no"),
         F.concat(kind, padded(F.concat(F.lit("T"), "l_suppkey"), 7), F.lit(" "), times).alias("line"),
     )
     lines = suppliers.unionByName(schedules).unionByName(stops)
     return lines.withColumn("archive", F.lit("all.zip"))
 
 
-def _stop_rank():
-    """Number below a million that orders the stops of a line number."""
-    return F.pmod(F.xxhash64("l_partkey", "l_suppkey"), F.lit(1_000_000))
-
-
 # ---- sorting and sets ----------------------------------------------------------------------------
 
 
