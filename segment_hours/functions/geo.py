@@ -18,14 +18,19 @@ _ROTATION_ARCSEC = (0.1502, 0.2470, 0.8421)
 _EARTH_RADIUS_KM = 6371.0088
 
 
-def segment_distance(x, y, x1, y1, x2, y2):
-    """Distance of a point to one straight line segment; exact at its end points."""
+def segment_direction(x1, y1, x2, y2):
+    """Vector (ux, uy) whose product with an offset from the first end is the share along the segment."""
     dx, dy = x2 - x1, y2 - y1
-    along = ((x - x1) * dx + (y - y1) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
-    inside = (along > 0) & (along < 1)
-    nearest_x = F.when(inside, x1 + along * dx).when(along >= 1, x2).otherwise(x1)
-    nearest_y = F.when(inside, y1 + along * dy).when(along >= 1, y2).otherwise(y1)
-    return F.sqrt((x - nearest_x) * (x - nearest_x) + (y - nearest_y) * (y - nearest_y))
+    length2 = F.nullif(dx * dx + dy * dy, F.lit(0.0))
+    return F.coalesce(dx / length2, F.lit(0.0)), F.coalesce(dy / length2, F.lit(0.0))
+
+
+def segment_distance(x, y, x1, y1, x2, y2, ux, uy):
+    """Distance of a point to one straight line segment of that direction; exact at its end points."""
+    along = F.greatest((x - x1) * ux + (y - y1) * uy, F.lit(0.0))
+    nearest_x = F.when(along < 1, x1 + along * (x2 - x1)).otherwise(x2)
+    nearest_y = F.when(along < 1, y1 + along * (y2 - y1)).otherwise(y2)
+    return F.sqrt(F.pow(x - nearest_x, 2) + F.pow(y - nearest_y, 2))
 
 
 def unit_vector(lat, lon):

@@ -12,20 +12,21 @@ def fixed(col, start, length):
     return F.substring(col, start, length)
 
 
+# Fixed pattern: 1-5 digits that, padded to four, have an hour below 24 and a rest below 60.
+_HHMM = "^(?:[0-9]|[0-5][0-9]|[0-9][0-5][0-9]|(?:[01][0-9]|2[0-3])0?[0-5][0-9])$"
+
+
 def hhmm(col):
-    """Four-digit time, or null: 1-5 digits, zero padded, hour below 24 and the rest below 60."""
+    """Four-digit time of a digit text (leading zeros may be missing), or null."""
     raw = F.trim(col)
-    digits = F.when(raw.rlike("^[0-9]{1,5}$"), F.when(F.length(raw) < 4, F.lpad(raw, 4, "0")).otherwise(raw))
-    hour = F.substring(digits, 1, 2).cast("int")
-    minute = F.substring(digits, 3, 3).cast("int")
-    # 5 digits leave a 3-digit minute part, which is only valid with a leading zero
-    text = F.concat(F.substring(digits, 1, 2), F.lpad(minute.cast("string"), 2, "0"))
-    return F.when((hour < 24) & (minute < 60), text)
+    hour = F.substring(F.lpad(raw, 4, "0"), 1, 2)
+    minute = F.lpad(F.right(raw, F.lit(2)), 2, "0")
+    return F.when(raw.rlike(_HHMM), F.concat(hour, minute))
 
 
 def hhmm_minutes(col):
     """Minutes since midnight of an HHMM value, also when leading zeros were lost."""
-    value = F.try_to_number(F.trim(col), F.lit("99999")).cast("int")
+    value = F.trim(col.cast("string")).try_cast("int")
     return F.floor(value / 100).cast("int") * 60 + value % 100
 
 

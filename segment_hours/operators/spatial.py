@@ -7,13 +7,21 @@ import functools
 from pyspark.sql import functions as F
 
 from segment_hours.config import MAX_DISTANCE_M, SEGMENT, SEGMENT_MILES
-from segment_hours.functions.geo import chord_km, osgb_to_wgs84, segment_distance, unit_vector
+from segment_hours.functions.geo import (
+    chord_km,
+    osgb_to_wgs84,
+    segment_direction,
+    segment_distance,
+    unit_vector,
+)
 from segment_hours.functions.text import segment_id
 from segment_hours.session import cut_lineage
 
 # Search radius of each pass as a share of the widest one, and the radii on the unit sphere
 # (chords; 2 spans the globe).
-_LINE_LEVELS = (1 / 8, 1.0)
+_LINE_LEVELS = (1 / 16, 1 / 4, 1.0)
+# A pass is left out where a straight piece of mean length would span more columns of its grid.
+_MAX_COLUMNS = 32
 _SPHERE_LEVELS = (2.0**-9, 2.0**-7, 2.0**-5, 2.0**-3, 2.0)
 # Covers are a little wider than the radius, so that rounding never loses a partner at its edge.
 _MARGIN = 1 + 1e-6
@@ -71,13 +79,10 @@ def _pieces(lines, geometry):
         F.slice(geometry, F.least(F.lit(2), F.size(geometry)), last).alias("b"),
     )
     pieces = lines.where(F.size(geometry) > 0).select("_line", F.explode(ends).alias("_p"))
-    return pieces.select(
-        "_line",
-        F.col("_p.a.x").alias("x1"),
-        F.col("_p.a.y").alias("y1"),
-        F.col("_p.b.x").alias("x2"),
-        F.col("_p.b.y").alias("y2"),
-    ).distinct()
+    corners = {f"{c}{i}": F.col(f"_p.{end}.{c}") for i, end in ((1, "a"), (2, "b")) for c in "xy"}
+    distinct = pieces.select("_line", *[corner.alias(n) for n, corner in corners.items()]).distinct()
+    ux, uy = segment_direction(*(F.col(c) for c in ("x1", "y1", "x2", "y2")))
+    return distinct.withColumns({"ux": ux, "uy": uy})
 
 
 def _line_cells(pieces, radius):
@@ -122,8 +127,10 @@ def nearest_lines(points, lines, easting, northing, geometry, max_distance=MAX_D
     def cover(radius):
         return _line_cells(pieces, radius)
 
-    distance = segment_distance(*(F.col(c) for c in ("_x", "_y", "x1", "y1", "x2", "y2")))
-    radii = [max_distance * share for share in _LINE_LEVELS]
+    distance = segment_distance(*(F.col(c) for c in ("_x", "_y", "x1", "y1", "x2", "y2", "ux", "uy")))
+    length = pieces.agg(F.avg(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1"))))).first()[0]
+    finest = (length or 0.0) / _MAX_COLUMNS
+    radii = [max_distance * s for s in _LINE_LEVELS if s == 1.0 or max_distance * s >= finest]
     settled = _search(
         spots, ["_x", "_y"], radii, cells_of_points, cover, distance, lambda d: F.struct(F.min(d).alias("_d"))
     )

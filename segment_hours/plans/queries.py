@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from segment_hours.config import DATE_KEYS, HOUR_KEYS, SEGMENT, WEATHER_FLAGS, WEATHER_ROLLING, Rolling
 from segment_hours.functions import geo, text, time
 from segment_hours.operators import basics, frame, incidents, model, schedule, spatial, spine, weather
-from segment_hours.operators.slices import SLICE
+from segment_hours.operators.slices import SLICE, carry
 from segment_hours.plans import fixtures as fx
 from segment_hours.session import scratch_path
 from segment_hours.sources import feeds, tables
@@ -238,15 +238,13 @@ def split_xy(spark, sf):
 
 
 def _station_hours(spark, sf):
-    return weather.hourly_fill(fx.observations(spark, sf)["TD"], "meto_stmp_time", "src_id")
+    return weather.hourly_fill(fx.observations(spark, sf)["TD"], "meto_stmp_time", ["src_id"])
 
 
 @query
 def join_station_fanout(spark, sf):
-    located = weather.to_segments(
-        _station_hours(spark, sf), fx.station_map(spark, sf), "meto_stmp_time", "src_id", "src_id_TD"
-    )
-    return _rounded(located)
+    links = weather.station_links(fx.station_map(spark, sf), ["TD"]).drop("_table")
+    return _rounded(weather.to_segments(_station_hours(spark, sf), links, "meto_stmp_time", ["src_id"]))
 
 
 @query
@@ -341,7 +339,9 @@ def collapse_schedule(spark, sf):
         text.segment_id(F.lit("S"), F.col("l_suppkey")).alias(SEGMENT),
         text.minutes_hhmm(fx.dep_minute()).alias("dep_time"),
     )
-    return schedule.collapse_schedule(stops, ["train_id", SEGMENT])
+    collapsed = schedule.collapse_schedule(stops, ["train_id", SEGMENT])
+    times = [text.minutes_hhmm(F.col(f"{c}_minute")).alias(f"{c}_time") for c in ("dep", "arr")]
+    return collapsed.select("train_id", SEGMENT, *times)
 
 
 @query
@@ -364,7 +364,7 @@ def time_bounds(spark, sf):
 @query
 def dedup_last(spark, sf):
     rows = fx.table(spark, sf, "events").select((F.col("user_id") % 15).alias("src_id"), "ts", "event_id", "value")
-    last = weather.dedup_last(rows, "src_id", "ts")
+    last = weather.dedup_last(rows, ["src_id"], "ts")
     return last.select("src_id", time.index_hour(F.col("_hour")).alias("hour_ts"), "event_id", "value")
 
 
@@ -450,10 +450,9 @@ def schedule_hops(spark, sf):
         F.when(F.col("l_linestatus") == "F", text.minutes_hhmm((minute + 1435) % 1440)).alias("arr"),
         F.when(F.col("l_returnflag") != "N", text.minutes_hhmm(minute)).alias("dep"),
     )
-    hops = schedule.hops_between(
-        stops, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "l_orderkey", "header"
-    )
-    return hops.select("train_id", "stanox_dep", "stanox_arr", "daysofweek", "dep_time")
+    order = ["l_linenumber", "l_partkey", "l_suppkey"]
+    placed = carry(stops, ["l_orderkey"], order, {"_before": schedule.stop_before(order)})
+    return schedule.hops_of_stops(placed).select("train_id", "stanox_dep", "stanox_arr", "daysofweek", "dep_time")
 
 
 # line numbers a schedule may use in the text below; 100,000 schedules make a slice

@@ -50,3 +50,12 @@ def cut_lineage(df, name="stage"):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df, *keys):
+    """Shuffles by ``keys`` into a fixed number of partitions, which AQE does not merge.
+
+    For small rows that each stand for much work after the shuffle (an archive to read, a day to
+    unfold): merged by their size they would leave that work to one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

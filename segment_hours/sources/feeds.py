@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from segment_hours.functions.text import parse_period_name
 from segment_hours.functions.time import parse_dayfirst
 from segment_hours.operators.basics import rename_positional, swap_columns, union_tables
+from segment_hours.session import spread
 
 # Fixed format: fields of a location record.
 LOCATION_FIELDS = (
@@ -161,17 +162,12 @@ def _line_frames(stream, encoding):
         yield pd.DataFrame(rows, columns=["line_no", "line"])
 
 
-def _spread(df, *keys):
-    """One row per task as far as possible: the rows are few and each stands for a large read."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-
-
 def _members(archives, suffixes, whole=False):
     def list_all(batches):
         return _list_members(batches, lambda member: member.endswith(suffixes), whole)
 
-    listed = _spread(archives, "path").mapInPandas(list_all, "path string, name string, member string, rank long")
-    return _spread(listed, "path", "member")
+    listed = spread(archives, "path").mapInPandas(list_all, "path string, name string, member string, rank long")
+    return spread(listed, "path", "member")
 
 
 def read_timetable_lines(spark, root, pattern="*.zip", encoding="latin-1", seasons=None):
