@@ -21,7 +21,7 @@ def hhmm(col):
     raw = F.trim(col)
     hour = F.substring(F.lpad(raw, 4, "0"), 1, 2)
     minute = F.lpad(F.right(raw, F.lit(2)), 2, "0")
-    return F.when(raw.rlike(_HHMM), F.concat(hour, minute))
+    return F.when(raw.rlike(_HHMM), F.when(F.length(raw) == 4, raw).otherwise(F.concat(hour, minute)))
 
 
 def hhmm_minutes(col):

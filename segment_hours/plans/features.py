@@ -16,6 +16,7 @@ from segment_hours.operators.schedule import hourly_train_counts, schedule_hops
 from segment_hours.operators.spatial import link_locations
 from segment_hours.operators.spine import hourly_spine
 from segment_hours.operators.weather import raw_weather, weather_features
+from segment_hours.session import cut_lineage
 from segment_hours.sources.feeds import (
     delays_of_lines,
     read_locations,
@@ -40,15 +41,20 @@ def build_hops(spark, root, start=None, end=None, **options):
     if (start is None) != (end is None):
         raise ValueError("give both start and end, or neither")
     seasons = timetable_seasons(start, end) if start is not None else None
-    return schedule_hops(read_timetable_lines(spark, root, seasons=seasons), **options)
+    # unpacked once: the lines are read several times below, and an archive is slow to read again
+    lines = cut_lineage(read_timetable_lines(spark, root, seasons=seasons), "timetable")
+    return schedule_hops(lines, **options)
 
 
-def build_delays(spark, root, out, periods=None):
-    """Writes the archived delay logs as a table partitioned by season and period."""
-    lines = read_period_lines(spark, root)
+def build_delays(spark, root, out, periods=None, **options):
+    """Writes the archived delay logs as a table partitioned by season and period.
+
+    ``periods`` (season, period) keeps the listed ones; options are those of ``normalise_delays``.
+    """
+    lines = cut_lineage(read_period_lines(spark, root), "delays")
     if periods is not None:
         lines = lines.join(periods.select("season", "period"), ["season", "period"], "left_semi")
-    table = delays_of_lines(lines)
+    table = delays_of_lines(lines, **options)
     write_partitioned(table, out, ["season", "period"])
     return spark.read.schema(table.schema).parquet(out)
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow
 import pyarrow.fs
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,7 +127,10 @@ def _open_archive(path):
 
 
 def _uri(path):
-    return path if path.startswith("file:///") or not path.startswith("file:/") else "file://" + path[5:]
+    """Spark's file path as a URI that names its file system."""
+    if path.startswith("file:/") and not path.startswith("file:///"):
+        path = "file://" + path[5:]
+    return quote(path, safe="/:@")
 
 
 def archive_members(spark, root, pattern="*.zip"):
@@ -134,18 +139,27 @@ def archive_members(spark, root, pattern="*.zip"):
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
-def _list_members(batches, wanted, whole):
-    """(path, name, member, rank) of the wanted members in name order; ``whole`` adds archives with none."""
+# What opening a damaged or truncated archive raises.
+_CORRUPT = (zipfile.BadZipFile, pyarrow.ArrowInvalid)
+
+
+def _list_members(batches, wanted, nested):
+    """(path, name, member, rank) of the wanted members in name order.
+
+    ``nested`` keeps archives without any, to be read as they are, and skips corrupt ones.
+    """
     for batch in batches:
         rows = []
         for path, name in zip(batch["path"], batch["name"], strict=True):
             try:
                 with _open_archive(_uri(path)) as archive:
                     members = sorted(m for m in archive.namelist() if wanted(m.lower()))
-            except zipfile.BadZipFile:
+            except _CORRUPT:
+                if not nested:
+                    raise
                 continue
             rows.extend((path, name, member, rank) for rank, member in enumerate(members))
-            if whole and not members:
+            if nested and not members:
                 rows.append((path, name, None, 0))
         yield pd.DataFrame(rows, columns=["path", "name", "member", "rank"])
 
@@ -162,9 +176,9 @@ def _line_frames(stream, encoding):
         yield pd.DataFrame(rows, columns=["line_no", "line"])
 
 
-def _members(archives, suffixes, whole=False):
+def _members(archives, suffixes, nested=False):
     def list_all(batches):
-        return _list_members(batches, lambda member: member.endswith(suffixes), whole)
+        return _list_members(batches, lambda member: member.endswith(suffixes), nested)
 
     listed = spread(archives, "path").mapInPandas(list_all, "path string, name string, member string, rank long")
     return spread(listed, "path", "member")
@@ -220,16 +234,16 @@ def read_period_lines(spark, root, pattern="*.zip", encoding="utf-8"):
                             continue
                         with outer.open(row.member) as packed, zipfile.ZipFile(packed) as inner:
                             yield from first_csv(inner, row.member.rsplit("/", 1)[-1])
-                except zipfile.BadZipFile:
+                except _CORRUPT:
                     continue
 
-    todo = _members(archive_members(spark, root, pattern), ".zip", whole=True)
+    todo = _members(archive_members(spark, root, pattern), ".zip", nested=True)
     lines = todo.mapInPandas(read_all, "name string, line_no long, line string")
     parsed = lines.withColumn("_p", parse_period_name(F.col("name"))).where(F.col("_p.season").isNotNull())
     return parsed.select("_p.season", "_p.period", "line_no", "line")
 
 
-def delays_of_lines(lines):
+def delays_of_lines(lines, **options):
     """Normalised delay rows of period CSV lines, with season and period.
 
     Layouts differ between years, so the distinct header lines (few) are fetched and the periods of
@@ -243,6 +257,6 @@ def delays_of_lines(lines):
         of_layout = headers.where(F.col("header") == header).select("season", "period")
         rows = lines.where(F.col("line_no") > 0).join(of_layout, ["season", "period"])
         parsed = rows.select("season", "period", F.from_csv("line", schema).alias("_row"))
-        body = normalise_delays(parsed.select("_row.*", "season", "period"), carry=("season", "period"))
+        body = normalise_delays(parsed.select("_row.*", "season", "period"), carry=("season", "period"), **options)
         tables.append(body)
     return union_tables(tables)

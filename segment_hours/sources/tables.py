@@ -104,7 +104,7 @@ def first_file_rows(df, keys=tuple(PARTITION_KEYS), feature_prefix="features_"):
     files = named.select(*keys, "_file").distinct()
     rank = F.struct(F.col("_file").startswith(feature_prefix).alias("is_feature"), F.col("_file").alias("name"))
     chosen = files.groupBy(*keys).agg(F.min(rank)["name"].alias("_file"))
-    return named.join(chosen, [*keys, "_file"], "left_semi").drop("_file")
+    return named.join(chosen, [*keys, "_file"], "left_semi").select(*df.columns)
 
 
 def _load_named(spark, path, form, schema):
