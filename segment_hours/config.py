@@ -7,7 +7,9 @@ from dataclasses import dataclass
 SEGMENT = "ELR_MIL"
 DATE_KEYS = ["year", "month", "day", "hour"]
 HOUR_KEYS = [SEGMENT, *DATE_KEYS]
+# One folder per segment and day holds 24 rows; stored tables default to months, sorted by segment.
 PARTITION_KEYS = [SEGMENT, "year", "month", "day"]
+MONTH_KEYS = ["year", "month"]
 INCIDENT_PREFIX = "INCIDENT_"
 
 # Miles per segment bucket and the widest point-to-line distance in metres.

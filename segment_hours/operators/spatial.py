@@ -22,7 +22,7 @@ from segment_hours.session import cut_lineage
 _LINE_LEVELS = (1 / 16, 1 / 4, 1.0)
 # A pass is left out where a straight piece of mean length would span more columns of its grid.
 _MAX_COLUMNS = 32
-_SPHERE_LEVELS = (2.0**-9, 2.0**-7, 2.0**-5, 2.0**-3, 2.0)
+_SPHERE_LEVELS = (2.0**-12, 2.0**-9, 2.0**-6, 2.0**-3, 2.0**-1, 2.0)
 # Covers are a little wider than the radius, so that rounding never loses a partner at its edge.
 _MARGIN = 1 + 1e-6
 

@@ -6,18 +6,19 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from segment_hours.config import PARTITION_KEYS, WEATHER_FLAGS, WEATHER_ROLLING
+from segment_hours.config import HOUR_KEYS, MONTH_KEYS, WEATHER_FLAGS, WEATHER_ROLLING
 from segment_hours.functions.text import hhmm
 from segment_hours.functions.time import as_range, ntz, period_calendar, timetable_seasons, yymmdd
 from segment_hours.operators.basics import segments, time_range, valid_locations
 from segment_hours.operators.frame import modelling_frame
 from segment_hours.operators.incidents import incident_counts
 from segment_hours.operators.schedule import hourly_train_counts, schedule_hops
-from segment_hours.operators.spatial import link_locations
+from segment_hours.operators.spatial import centroids_wgs84, link_locations, nearest_stations
 from segment_hours.operators.spine import hourly_spine
 from segment_hours.operators.weather import raw_weather, weather_features
 from segment_hours.session import cut_lineage
 from segment_hours.sources.feeds import (
+    combine_station_maps,
     delays_of_lines,
     read_locations,
     read_period_lines,
@@ -36,6 +37,20 @@ def build_segment_map(spark, locations_path, track, **options):
     return link_locations(valid_locations(read_locations(spark, locations_path)), track, **options)
 
 
+def build_station_map(segment_map, stations, years):
+    """Nearest station of each weather table to each segment's centroid: loc_id, year, src_id_<table>.
+
+    ``stations`` maps a table to its stations (src_id, year, lat, lon).
+    """
+    places = centroids_wgs84(segment_map).toDF("loc_id", "lat", "lon")
+    maps = []
+    for name, sites in stations.items():
+        nearest = nearest_stations(places, sites, years)
+        station = F.col("src_id").alias(f"src_id_{name}")
+        maps.append(nearest.select("loc_id", F.col("year").cast("string").alias("year"), station))
+    return combine_station_maps(maps)
+
+
 def build_hops(spark, root, start=None, end=None, **options):
     """Hop table of the timetable archives, of the seasons a window touches if one is given."""
     if (start is None) != (end is None):
@@ -94,13 +109,18 @@ def build_incidents(spark, root, segment_map, start, end, form="csv", schema=Non
     return incident_counts(log, segment_map, start=start, end=end, **options)
 
 
-def create_datasets(spark, out, segment_map, hops, incidents, weather, start, end, keys=tuple(PARTITION_KEYS)):
-    """Writes all four feature tables under ``out``; running it again replaces the same partitions."""
+def create_datasets(spark, out, segment_map, hops, incidents, weather, start, end, keys=tuple(MONTH_KEYS)):
+    """Writes all four feature tables under ``out``; running it again replaces the same partitions.
+
+    ``keys`` is the folder layout. Rows of a partition are sorted by the remaining hour keys, segment
+    first, so that a scan of one segment skips row groups where the segment is not a folder.
+    """
     start, end = as_range(start, end)
     spine = hourly_spine(segments(segment_map), start, end)
     trains = hourly_train_counts(typed_hops(hops), segment_map, start.date(), end.date())
+    rest = [k for k in HOUR_KEYS if k not in keys]
     for name, table in {"main": spine, "weather": weather, "timetable": trains, "incidents": incidents}.items():
-        write_partitioned(table, f"{out}/{name}", keys)
+        write_partitioned(table, f"{out}/{name}", keys, sort=rest)
 
 
 def build_modelling_frame(spark, root, **options):

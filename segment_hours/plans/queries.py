@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segment_hours.config import DATE_KEYS, HOUR_KEYS, SEGMENT, WEATHER_FLAGS, WEATHER_ROLLING, Rolling
+from segment_hours.config import DATE_KEYS, HOUR_KEYS, PARTITION_KEYS, SEGMENT, WEATHER_FLAGS, WEATHER_ROLLING, Rolling
 from segment_hours.functions import geo, text, time
 from segment_hours.operators import basics, frame, incidents, model, schedule, spatial, spine, weather
 from segment_hours.operators.slices import SLICE, carry
@@ -71,17 +71,17 @@ def scan_formats(spark, sf):
 def scan_partitioned(spark, sf):
     rows = time.with_date_parts(fx.table(spark, sf, "events"), "ts").withColumnRenamed("event_type", SEGMENT)
     root = scratch_path(spark, "evolving")
-    keys = [SEGMENT, "year", "month", "day"]
-    tables.write_partitioned(rows.select("event_id", "value", *keys), root, mode="append")
-    tables.write_partitioned(rows.select("event_id", "user_id", *keys), root, mode="append")
-    return tables.scan_partitioned(spark, root).select("event_id", "value", "user_id", *keys)
+    for column in ("value", "user_id"):
+        part = rows.select("event_id", column, *PARTITION_KEYS)
+        tables.write_partitioned(part, root, PARTITION_KEYS, mode="append")
+    return tables.scan_partitioned(spark, root).select("event_id", "value", "user_id", *PARTITION_KEYS)
 
 
 @query
 def scan_pruned(spark, sf):
     rows = time.with_date_parts(fx.table(spark, sf, "events"), "ts").withColumnRenamed("event_type", SEGMENT)
     root = scratch_path(spark, "pruned")
-    tables.write_partitioned(rows.select("event_id", "value", SEGMENT, "year", "month", "day", "hour"), root)
+    tables.write_partitioned(rows.select("event_id", "value", *HOUR_KEYS), root, PARTITION_KEYS)
     found = tables.scan_segment(spark, root, "view", {"month": 1, "day": [3, 9, 17, 26]})
     return found.select("event_id", "value", *HOUR_KEYS)
 
@@ -92,7 +92,7 @@ def write_partitioned(spark, sf):
     rows = rows.select("event_id", "value", *HOUR_KEYS)
     root = scratch_path(spark, "written")
     for _ in range(2):  # the second run replaces the partitions of the first
-        tables.write_partitioned(rows, root)
+        tables.write_partitioned(rows, root, PARTITION_KEYS, sort=["hour"])
     return spark.read.parquet(root).select("event_id", "value", *HOUR_KEYS)
 
 

@@ -31,13 +31,17 @@ def build_session(app="segment-hours", master=None, **conf):
     return builder.getOrCreate()
 
 
+_LOCAL_ROOT = []
+
+
 def checkpoint_root(spark):
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder of this process only where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="segment-hours-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not _LOCAL_ROOT:
+        _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="segment-hours-"))
+    return _LOCAL_ROOT[0]
 
 
 def scratch_path(spark, name):

@@ -7,7 +7,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segment_hours.config import PARTITION_KEYS
+from segment_hours.config import MONTH_KEYS, PARTITION_KEYS
 
 _FORMATS = ("csv", "json", "parquet")
 _WRITE_MODES = ("append", "overwrite", "ignore")
@@ -66,16 +66,21 @@ def get_or_build(spark, path, build, schema=None):
     return read_table(spark, path, schema)
 
 
-def write_partitioned(df, root, keys=tuple(PARTITION_KEYS), mode="overwrite", codec="snappy", rows_per_file=None):
+def write_partitioned(
+    df, root, keys=tuple(MONTH_KEYS), mode="overwrite", sort=(), codec="snappy", rows_per_file=None
+):
     """Hive-partitioned Parquet; by default only the partitions present in ``df`` are replaced.
 
     Rows are brought together by partition first, so that a task keeps one writer open at a time and a
-    partition is not scattered over one file per task. ``rows_per_file`` splits large partitions.
+    partition is not scattered over one file per task. ``sort`` orders the rows of a partition, which
+    lets a scan skip row groups; ``rows_per_file`` splits large partitions.
     """
     if mode not in _WRITE_MODES:
         raise ValueError(f"mode must be one of {_WRITE_MODES}, not {mode!r}")
     # rebalance (unlike repartition) lets AQE split a partition that holds a large share of the rows
     balanced = df.hint("rebalance", *[F.col(k) for k in keys])
+    if sort:
+        balanced = balanced.sortWithinPartitions(*keys, *sort)
     writer = balanced.write.mode(mode).option("compression", codec)
     writer = writer.option("partitionOverwriteMode", "dynamic")
     if rows_per_file:

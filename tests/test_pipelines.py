@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from segment_hours.config import HOUR_KEYS
+from segment_hours.config import HOUR_KEYS, PARTITION_KEYS
 from segment_hours.operators.weather import station_links
 from segment_hours.plans import features
 from segment_hours.streaming.incidents import latest_counts, run_chunks, stream_incident_counts
@@ -27,7 +27,7 @@ def inputs(spark, tmp_path_factory):
     return root
 
 
-def build(spark, root, out):
+def build(spark, root, out, **layout):
     start, end = "2024-01-01 00:00:00", "2024-01-01 23:00:00"
     segment_map = spark.createDataFrame([(11, "A_0", 0)], "STANOX long, ELR_MIL string, pos int")
     hops = spark.createDataFrame(
@@ -42,7 +42,7 @@ def build(spark, root, out):
     rolling = [features.WEATHER_ROLLING[0], features.WEATHER_ROLLING[2]]
     weather = features.build_weather(spark, root, stations, schemas, start, end, rolling=rolling, flags=features.WEATHER_FLAGS[:1])
     incidents = features.build_incidents(spark, root, segment_map, start, end, schema="EVENT_DATETIME string, INCIDENT_REASON string, SECTION_CODE string")
-    features.create_datasets(spark, out, segment_map, hops, incidents, weather, start, end)
+    features.create_datasets(spark, out, segment_map, hops, incidents, weather, start, end, **layout)
     return features.build_modelling_frame(spark, out)
 
 
@@ -62,6 +62,18 @@ def test_feature_tables_end_to_end(spark, inputs, tmp_path):
     assert sorted(map(str, again.collect())) == sorted(map(str, found))
     one = features.build_modelling_frame(spark, out, segment="A_0", time_filter={"year": 2024, "day": [1]})
     assert one.count() == 24
+    by_day = build(spark, str(inputs), f"{tmp_path}/by_day", keys=PARTITION_KEYS)
+    assert sorted(map(str, by_day.select(*wide.columns).collect())) == sorted(map(str, found))
+
+
+def test_station_map_of_segments(spark):
+    located = spark.createDataFrame(
+        [("A_0", 651400.0, 313100.0), ("A_0", 651420.0, 313254.0), ("B_0", 400000.0, 300000.0)],
+        "ELR_MIL string, EASTING double, NORTHING double",
+    )
+    east = spark.createDataFrame([(1, 2024, 52.6, 1.7), (2, 2024, 52.5, -2.0)], "src_id long, year int, lat double, lon double")
+    made = features.build_station_map(located, {"TD": east, "RH": east.where("src_id = 2")}, [2024])
+    assert sorted(map(tuple, made.collect())) == [("A_0", "2024", 1, 2), ("B_0", "2024", 2, 2)]
 
 
 def test_station_links_skip_missing_stations(spark):

@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
+from segment_hours.config import PARTITION_KEYS
 from segment_hours.operators.basics import valid_locations
 from segment_hours.operators.schedule import schedule_hops
 from segment_hours.plans.features import build_delays, build_hops
@@ -62,7 +63,8 @@ def test_partitioned_overwrite_leaves_other_partitions(spark, tmp_path):
 def test_pruned_scan_reads_only_its_partitions(spark, tmp_path):
     root = f"{tmp_path}/parts"
     rows = [("A_0", 2024, 1, d, d) for d in range(1, 9)] + [("B_0", 2024, 1, 1, 0)]
-    tables.write_partitioned(spark.createDataFrame(rows, "ELR_MIL string, year int, month int, day int, v int"), root)
+    df = spark.createDataFrame(rows, "ELR_MIL string, year int, month int, day int, v int")
+    tables.write_partitioned(df, root, PARTITION_KEYS)
     found = tables.scan_segment(spark, root, "A_0", {"day": [2, 3]})
     assert sorted(r["v"] for r in found.collect()) == [2, 3]
     plan = found._jdf.queryExecution().executedPlan().toString()
