@@ -22,7 +22,7 @@ from segment_hours.session import cut_lineage
 _LINE_LEVELS = (1 / 16, 1 / 4, 1.0)
 # A pass is left out where a straight piece of mean length would span more columns of its grid.
 _MAX_COLUMNS = 32
-_SPHERE_LEVELS = (2.0**-12, 2.0**-9, 2.0**-6, 2.0**-3, 2.0**-1, 2.0)
+_SPHERE_LEVELS = (2.0**-11, 2.0**-8, 2.0**-5, 2.0**-2, 2.0)
 # Covers are a little wider than the radius, so that rounding never loses a partner at its edge.
 _MARGIN = 1 + 1e-6
 
@@ -36,9 +36,13 @@ def centroids(df, key=SEGMENT, easting="EASTING", northing="NORTHING"):
 
 
 def centroids_wgs84(df, key=SEGMENT, easting="EASTING", northing="NORTHING"):
-    """Centroids in degrees."""
+    """Centroids in degrees.
+
+    One row per segment, written as a stage: a later filter on the degrees would be pushed through
+    every step of the conversion and repeat its expressions each time.
+    """
     placed = osgb_to_wgs84(centroids(df, key, easting, northing), easting, northing)
-    return placed.select(key, "Latitude", "Longitude")
+    return cut_lineage(placed.select(key, "Latitude", "Longitude"), "centroids")
 
 
 def _cell(value, size):
