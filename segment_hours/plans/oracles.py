@@ -281,7 +281,7 @@ def _profile(columns):
 
 ORACLES = {
     # sources and sinks
-    "scan_formats": "SELECT n.*, fmt FROM nation n, (VALUES ('csv'), ('json'), ('parquet')) f(fmt)",
+    "scan_formats": "SELECT c.*, fmt FROM customer c, (VALUES ('csv'), ('json'), ('parquet')) f(fmt)",
     "scan_partitioned": f"""WITH r AS (SELECT *, {_parts('ts')} FROM events)
 SELECT event_id, value, NULL::BIGINT AS user_id, event_type AS ELR_MIL, year, month, day FROM r
 UNION ALL SELECT event_id, NULL, user_id, event_type, year, month, day FROM r""",

@@ -57,12 +57,12 @@ def _publish(spark, df, root, key, name):
 
 @query
 def scan_formats(spark, sf):
-    nation = fx.table(spark, sf, "nation")
+    customers = fx.table(spark, sf, "customer")
     root = scratch_path(spark, "formats")
     read = []
-    for name in ("nation.csv.gz", "nation.json", "nation.parquet"):
-        tables.write_table(nation, f"{root}/{name}")
-        back = tables.read_table(spark, f"{root}/{name}", nation.schema)
+    for name in ("customer.csv.gz", "customer.json", "customer.parquet"):
+        tables.write_table(customers, f"{root}/{name}")
+        back = tables.read_table(spark, f"{root}/{name}", customers.schema)
         read.append(back.withColumn("fmt", F.lit(tables.table_format(name))))
     return basics.union_tables(read)
 
@@ -166,14 +166,14 @@ def parse_tab_records(spark, sf):
 
 @query
 def flatten_json_array(spark, sf):
-    """One JSON document per customer segment, each with an array of records."""
+    """One JSON document per 64 customers, each with an array of records, a document per line."""
     record = F.struct("c_custkey", "c_name", "c_nationkey")
-    customers = fx.table(spark, sf, "customer").withColumn("part", F.floor(F.col("c_custkey") / 64))
-    documents = customers.groupBy("part").agg(F.to_json(F.struct(F.collect_list(record).alias("TIPLOCDATA"))).alias("value"))
+    customers = fx.table(spark, sf, "customer").groupBy(F.floor(F.col("c_custkey") / 64).alias("part"))
+    document = F.to_json(F.struct(F.collect_list(record).alias("TIPLOCDATA"))).alias("value")
     root = scratch_path(spark, "corpus")
-    documents.write.partitionBy("part").text(root)
+    customers.agg(document).select("value").write.text(root)
     entry = T.StructType.fromDDL("c_custkey bigint, c_name string, c_nationkey int")
-    return feeds.read_json_records(spark, root, feeds.corpus_schema(entry), "TIPLOCDATA")
+    return feeds.read_json_records(spark, root, feeds.corpus_schema(entry), "TIPLOCDATA", multi_line=False)
 
 
 # ---- projections and filters ---------------------------------------------------------------------

@@ -67,9 +67,12 @@ def flatten_records(df, path):
     return df.select(F.explode(F.col(path)).alias("_record")).select("_record.*")
 
 
-def read_json_records(spark, path, schema, field=None, encoding=None):
-    """Rows of an array of records in a JSON document: at ``field``, or under its only key."""
-    reader = spark.read.schema(schema).option("multiLine", True)
+def read_json_records(spark, path, schema, field=None, encoding=None, multi_line=True):
+    """Rows of an array of records in a JSON document: at ``field``, or under its only key.
+
+    A file is one document, or with ``multi_line=False`` one per line.
+    """
+    reader = spark.read.schema(schema).option("multiLine", multi_line)
     if encoding:
         reader = reader.option("encoding", encoding)
     df = reader.json(str(path))
