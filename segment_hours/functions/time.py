@@ -97,17 +97,24 @@ def hour_of_parts(year="year", month="month", day="day", hour="hour"):
     return F.make_timestamp_ntz(F.col(year), F.col(month), F.col(day), F.col(hour), zero, zero)
 
 
+def _parsed_minutes(text, pattern):
+    """Minutes since 1970 of a text read as UTC, so that no session zone skips or shifts an hour."""
+    instant = F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(pattern + " X"))
+    return F.floor(F.unix_seconds(instant) / 60).cast("int")
+
+
 def yymmdd(col):
     """Date of a YYMMDD text, null where it does not parse."""
-    return F.try_to_timestamp(F.trim(col), F.lit("yyMMdd")).cast("date")
+    days = F.floor(_parsed_minutes(F.trim(col), "yyMMdd") / 1440).cast("int")
+    return F.date_add(F.expr(_EPOCH_DATE), days)
 
 
 def parse_dayfirst(col):
     """Day-first date time with ``-`` or ``/`` and a numeric or named month; null if neither fits."""
     text = F.replace(F.trim(col), F.lit("-"), F.lit("/"))
-    named = F.try_to_timestamp(text, F.lit("dd/MMM/yyyy HH:mm"))
-    numeric = F.try_to_timestamp(text, F.lit("dd/MM/yyyy HH:mm"))
-    return F.coalesce(named, numeric).cast("timestamp_ntz")
+    named = _parsed_minutes(text, "dd/MMM/yyyy HH:mm")
+    numeric = _parsed_minutes(text, "dd/MM/yyyy HH:mm")
+    return F.expr(_EPOCH_NTZ) + F.make_dt_interval(mins=F.coalesce(named, numeric))
 
 
 def _year_pair(year):

@@ -101,6 +101,7 @@ def test_hour_index_is_independent_of_the_session_zone(spark):
     try:
         spark.conf.set("spark.sql.session.timeZone", "Europe/London")
         floored = df.select(time.hour_floor(F.col("ts")), time.hour_index(F.col("ts"))).first()
+        assert values(spark, ["31/03/2024 01:15"], "string", time.parse_dayfirst) == [stamp]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert tuple(floored) == (dt.datetime(2024, 3, 31, 1), time.hour_index_literal(stamp))
