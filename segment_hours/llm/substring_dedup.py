@@ -237,18 +237,23 @@ def repeated_spans(docs, window=WINDOW, runs_per_anchor=RUNS_PER_ANCHOR, shard_w
     shared = stage(shared, "shared-runs")
     alone = shared.where("runs = 1").select("anchor", "run", F.lit(0).alias("first"), F.col("n").alias("last"), "least")
 
-    many = shared.where("runs > 1").select("anchor", "run", "least", (F.col("runs") > runs_per_anchor).alias("refine"))
-    place = runs.join(many, ["anchor", "run"]).where("doc_id = least").groupBy("anchor", "run", "least", "refine", "n")
+    many = shared.where("runs > 1").select("anchor", "run", "least", "n", (F.col("runs") > runs_per_anchor).alias("refine"))
+    place = runs.drop("n").join(many, ["anchor", "run"]).where("doc_id = least").groupBy("anchor", "run", "least", "refine", "n")
     place = place.agg(F.min(F.struct("rid", "start")).alias("p")).select("p.rid", F.struct("anchor", "run", "least", "refine", "n", "p.start").alias("w"))
     wanted = place.groupBy("rid").agg(F.collect_list("w").alias("wanted"))  # bounded by the words of a document
     texts = rows.select("rid", F.col("text").cast("binary").alias("text"))
     cut = texts.join(wanted, "rid").mapInArrow(_cut_runs(window), "anchor long, run long, least long, key long, skip int, words array<long>")
     cut = stage(cut, "references")
-    # Equal windows of refined anchors are one reference, under their least document.
+    # Equal windows of refined anchors are one reference, under their least document. A run matches itself;
+    # windows that an earlier document has as well come on top.
     whole = F.col("key") != F.col("anchor")
-    single = cut.where(whole).groupBy("key").agg(F.min("least").alias("least"))
-    refined = cut.where(whole).select("anchor", "run", "key", "skip").join(single, "key")
-    refined = refined.select("anchor", "run", F.col("skip").alias("first"), (F.col("skip") + 1).alias("last"), "least")
+    single = cut.where(whole).groupBy("key").agg(F.min("least").alias("least"), F.count("*").alias("runs")).where("runs > 1")
+    later = cut.where(whole).select("anchor", "run", "key", "skip", F.col("least").alias("own"))
+    later = later.join(single, (later["key"] == single["key"]) & (F.col("own") > F.col("least")))
+    itself = many.where("refine")
+    refined = later.select("anchor", "run", F.col("skip").alias("first"), (F.col("skip") + 1).alias("last"), "least").unionByName(
+        itself.select("anchor", "run", F.lit(0).alias("first"), F.col("n").alias("last"), "least")
+    )
 
     plain = cut.where(~whole)
     total = plain.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
