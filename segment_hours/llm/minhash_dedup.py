@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from segment_hours.llm.common import Words, documents, fmix, fresh, signed, stage, text_blocks, texts_of
@@ -15,6 +16,8 @@ COORDINATES = 48
 MATCHES = 24
 SHINGLE = 5
 THRESHOLD = 80
+# Rounds in which the lists are searched from one document each, before what is left is compared in full.
+ROUNDS = 4
 
 _SIGNED = "rid long, doc_id long, n_shingles long, s1 long, s2 long, sig array<int>"
 
@@ -73,11 +76,20 @@ def _signer(width, k):
     return run
 
 
-def _sets(width):
+def _confirm(width, threshold):
+    """Pairs (a, b) of texts whose full shingle sets reach the threshold: 100 * intersection >= threshold * union."""
+
     def run(batches):
-        for part in text_blocks(batches):
-            sets = [signed(s) for s in shingle_sets(texts_of(part), width)]
-            yield pa.RecordBatch.from_arrays([part.column("cid"), pa.array(sets, pa.list_(pa.int64()))], ["cid", "grams"])
+        last, of_last = None, None
+        for part in text_blocks(batches, "ta"):
+            keep = []
+            sets = shingle_sets(texts_of(part, "ta"), width)
+            for b, text, own in zip(part.column("b").to_pylist(), part.column("tb").to_pylist(), sets, strict=True):
+                if b != last:
+                    last, of_last = b, next(shingle_sets([text], width))
+                both = len(np.intersect1d(own, of_last, assume_unique=True))
+                keep.append(100 * both >= threshold * (len(own) + len(of_last) - both))
+            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -105,23 +117,21 @@ def _matching(pairs, classes, least):
     return pairs.join(left, "a").join(right, "b").where(same >= least).select("a", "b")
 
 
-def _linked(pairs, sets, threshold):
-    """Pairs whose full sets reach the threshold: 100 * intersection >= threshold * union."""
-    left = sets.select(F.col("cid").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("cid").alias("b"), F.col("grams").alias("gb"))
-    both = F.size(F.array_intersect("ga", "gb"))
-    union = F.size("ga") + F.size("gb") - both
-    return pairs.join(left, "a").join(right, "b").where(both * 100 >= union * threshold).select("a", "b")
+def _linked(pairs, texts, width, threshold):
+    """Pairs whose full sets reach the threshold. Texts travel, which are smaller than their sets."""
+    left = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("cid").alias("b"), F.col("text").alias("tb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(_confirm(width, threshold), "a long, b long")
 
 
 def near_groups(docs, width=SHINGLE, threshold=THRESHOLD, k=COORDINATES, least=MATCHES):
     """(rid, doc_id, n_shingles, component_id): components of documents whose shingle sets are alike.
 
     Documents with one set form a class, so copies cost nothing further. Classes are posted under coordinates of their
-    signatures; within a list every class is first paired with the list's least class. What these links
-    leave in different components is paired across components, list by list, so every pair that shares
-    ``least`` coordinates is either compared or already connected, and large groups do not unfold into all their pairs.
-    Links are confirmed on the full sets.
+    signatures. In some rounds every class of a list is paired with one class of it, another one each round, as far as
+    they are not connected yet. What is then left in different components is paired across components, list by list. So every
+    pair that shares ``least`` coordinates is compared or already connected, and large groups do not unfold into
+    all their pairs. Links are confirmed on the full sets.
 
     Null text, empty text and text without words have an empty set and are linked with nothing. Repeated rows have equal
     sets. Null ids take part; a component of null ids only has a null id. Other columns are ignored.
@@ -138,22 +148,40 @@ def near_groups(docs, width=SHINGLE, threshold=THRESHOLD, k=COORDINATES, least=M
 
     wanted = posted.select("cid").distinct().join(classes.select("cid", "rid"), "cid")
     texts = rows.select("rid", F.col("text").cast("binary").alias("text")).join(wanted, "rid").select("cid", "text")
-    sets = stage(texts.mapInArrow(_sets(width), "cid long, grams array<long>").dropDuplicates(["cid"]), "shingles")
-
-    leaders = posted.groupBy("key").agg(F.min("cid").alias("b"), F.count("*").alias("n")).where("n > 1")
-    star = posted.join(leaders, "key").where("cid <> b").select(F.col("cid").alias("a"), "b").distinct()
-    links = stage(_linked(_matching(star, classes, least), sets, threshold), "links")
-    labels = components(links, "near")
-
-    labelled = posted.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-    labelled = stage(labelled.withColumn("root", F.coalesce("root", "cid")), "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    rest = labelled.join(mixed, "key")
-    left = rest.select("key", F.col("cid").alias("a"), F.col("root").alias("ra"))
-    right = rest.select("key", F.col("cid").alias("b"), F.col("root").alias("rb"))
-    across = left.join(right, "key").where("ra > rb").select("a", "b").distinct()
-    more = stage(_linked(_matching(across, classes, least), sets, threshold), "links")
-    groups = components(links.union(more), "near")
+    if filled.groupBy("rid").count().where("count > 1").limit(1).count():
+        texts = texts.dropDuplicates(["cid"])  # of rows repeated whole, one
+    # Both tables are dealt by class once and joined many times.
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = stage(texts, "texts").repartition(n, "cid").persist(StorageLevel.DISK_ONLY)
+    sigs = classes.select("cid", "sig").join(wanted.select("cid"), "cid").repartition(n, "cid").persist(StorageLevel.DISK_ONLY)
+
+    labels, turn = None, 0
+    while turn <= ROUNDS:
+        open_lists = posted.withColumn("root", F.col("cid"))
+        if labels is not None:
+            open_lists = posted.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+            open_lists = stage(open_lists, "labelled")
+        mixed = open_lists.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+        rest = stage(open_lists.join(mixed, "key"), "open")
+        if labels is not None and rest.isEmpty():
+            break
+        if turn < ROUNDS:
+            order = F.struct(F.xxhash64("cid", F.lit(turn)), "cid", "root")
+            leaders = rest.groupBy("key").agg(F.min(order).alias("l")).select("key", F.col("l.cid").alias("b"), F.col("l.root").alias("rb"))
+            pairs = rest.join(leaders, "key").where("root <> rb").select(F.col("cid").alias("a"), "b")
+        else:
+            left = rest.select("key", F.col("cid").alias("a"), F.col("root").alias("ra"))
+            right = rest.select("key", F.col("cid").alias("b"), F.col("root").alias("rb"))
+            pairs = left.join(right, "key").where("ra > rb").select("a", "b")
+        links = stage(_linked(_matching(pairs.distinct(), sigs, least), texts, width, threshold), "links")
+        nothing = links.isEmpty()
+        if labels is None or not nothing:
+            labels = components(links if labels is None else links.union(labels), "near")
+        # After a round without a link the rest is compared in full at once.
+        turn = ROUNDS if nothing and turn < ROUNDS else turn + 1
+    groups = labels
+    texts.unpersist()
+    sigs.unpersist()
 
     joined = signed_rows.join(groups.withColumnRenamed("node", "cid"), "cid", "left")
     joined = joined.withColumn("root", F.coalesce("root", "cid")).select("rid", "doc_id", "n_shingles", "root")
