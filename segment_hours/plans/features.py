@@ -29,6 +29,7 @@ from segment_hours.sources.tables import (
     read_year_tables,
     scan_partitioned,
     write_partitioned,
+    write_window,
 )
 
 
@@ -110,7 +111,9 @@ def build_incidents(spark, root, segment_map, start, end, form="csv", schema=Non
 
 
 def create_datasets(spark, out, segment_map, hops, incidents, weather, start, end, keys=tuple(MONTH_KEYS)):
-    """Writes all four feature tables under ``out``; running it again replaces the same partitions.
+    """Writes the hours ``start`` to ``end`` of all four feature tables under ``out``; running it again replaces them.
+
+    Windows may share a partition: stored hours outside the window stay.
 
     ``keys`` is the folder layout. Rows of a partition are sorted by the remaining hour keys, segment
     first, so that a scan of one segment skips row groups where the segment is not a folder.
@@ -120,7 +123,7 @@ def create_datasets(spark, out, segment_map, hops, incidents, weather, start, en
     trains = hourly_train_counts(typed_hops(hops), segment_map, start.date(), end.date())
     rest = [k for k in HOUR_KEYS if k not in keys]
     for name, table in {"main": spine, "weather": weather, "timetable": trains, "incidents": incidents}.items():
-        write_partitioned(table, f"{out}/{name}", keys, sort=rest)
+        write_window(table, f"{out}/{name}", start, end, keys, sort=rest)
 
 
 def build_modelling_frame(spark, root, **options):

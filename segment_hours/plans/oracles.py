@@ -414,7 +414,7 @@ FROM wide ORDER BY first_reason NULLS LAST, {_KEYS}""",
 UNION ALL SELECT s_name, s_nationkey, s_acctbal, NULL FROM supplier""",
     # scalar expressions
     "fixed_width_slice": """SELECT doc_id, md5(substr(text, 3, 7)) AS code_md5, CAST(length(trim(substr(text, 45, 5))) AS INT) AS trimmed,
-  CAST(length(substr(text, 11, 100000)) AS INT) AS rest FROM documents""",
+  CAST(length(substr(text, 11)) AS INT) AS rest FROM documents""",
     "normalise_hhmm": """WITH r AS (SELECT p_partkey, p_size % 5 = 0 AS bad, p_partkey * 7 % 12000 AS v FROM part),
 t AS (SELECT p_partkey, bad, CASE WHEN v < 10000 THEN v // 100 ELSE v // 1000 END AS hh, CASE WHEN v < 10000 THEN v % 100 ELSE v % 1000 END AS mm FROM r)
 SELECT p_partkey, CASE WHEN NOT bad AND hh < 24 AND mm < 60

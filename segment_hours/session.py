@@ -19,9 +19,14 @@ _SETTINGS = {
 }
 
 
-def build_session(app="segment-hours", master=None, **conf):
-    """Session with the package settings; ``conf`` keys use ``__`` where Spark uses a dot."""
+def build_session(app="segment-hours", master=None, stages=None, **conf):
+    """Session with the package settings; ``conf`` keys use ``__`` where Spark uses a dot.
+
+    ``stages`` is the folder for intermediate tables, shared by the driver and all executors.
+    """
     builder = SparkSession.builder.appName(app)
+    if stages:
+        builder = builder.config("spark.checkpoint.dir", str(stages))
     if master:
         builder = builder.master(master)
     for key, value in _SETTINGS.items():
@@ -35,10 +40,12 @@ _LOCAL_ROOT = []
 
 
 def checkpoint_root(spark):
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder of this process only where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset, a temporary folder of this process in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _LOCAL_ROOT:
         _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="segment-hours-"))
     return _LOCAL_ROOT[0]

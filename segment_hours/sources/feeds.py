@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+import zlib
 from urllib.parse import quote
 
 import pandas as pd
@@ -143,7 +144,7 @@ def archive_members(spark, root, pattern="*.zip"):
 
 
 # What opening a damaged or truncated archive raises.
-_CORRUPT = (zipfile.BadZipFile, pyarrow.ArrowInvalid)
+_CORRUPT = (zipfile.BadZipFile, pyarrow.ArrowInvalid, zlib.error)
 
 
 def _list_members(batches, wanted, nested):
@@ -222,6 +223,10 @@ def read_period_lines(spark, root, pattern="*.zip", encoding="utf-8"):
         member = next((m for m in archive.namelist() if m.lower().endswith(".csv")), None)
         if member is None:
             return
+        # A period counts whole or not at all: damage shows at the end, so it is read once before a line is given out.
+        with archive.open(member) as stream:
+            while stream.read(1 << 20):
+                pass
         with archive.open(member) as stream:
             for lines in _line_frames(stream, encoding):
                 lines.insert(0, "name", name)

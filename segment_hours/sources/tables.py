@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segment_hours.config import MONTH_KEYS, PARTITION_KEYS
+from segment_hours.functions.time import as_range, ntz
+from segment_hours.session import cut_lineage
 
 _FORMATS = ("csv", "json", "parquet")
 _WRITE_MODES = ("append", "overwrite", "ignore")
@@ -31,6 +33,15 @@ def path_exists(spark, path):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def is_complete(spark, path):
+    """Whether a table was written to its end: a single file, or a folder with the mark of a finished write."""
+    if not path_exists(spark, path):
+        return False
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(path))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getFileStatus(target).isFile() or path_exists(spark, f"{path}/_SUCCESS")
+
+
 def read_table(spark, path, schema=None, **options):
     """Table in the format of its suffix. Without a schema every CSV column stays text."""
     form = table_format(path)
@@ -58,11 +69,14 @@ def write_table(df, path, mode="overwrite", as_text=False, **options):
 
 
 def get_or_build(spark, path, build, schema=None):
-    """Reads the table if it is there, else writes what ``build()`` returns and reads that."""
-    if not path_exists(spark, path):
+    """Reads the table if it is there, else writes what ``build()`` returns and reads that.
+
+    What a failed write left behind is built again.
+    """
+    if not is_complete(spark, path):
         built = build()
         schema = schema or built.schema
-        write_table(built, path, mode="errorifexists")
+        write_table(built, path, mode="overwrite")
     return read_table(spark, path, schema)
 
 
@@ -88,6 +102,27 @@ def write_partitioned(
     writer.partitionBy(*keys).parquet(str(root))
 
 
+def write_window(df, root, start, end, keys=tuple(MONTH_KEYS), **options):
+    """Writes the hours ``start`` to ``end`` of a feature table; hours outside stay as they are.
+
+    A window may cover part of a partition (a week of a month): the stored rows of its partitions that lie outside
+    the window are kept and written again with it. Only the months of the window are read for that.
+    """
+    spark = df.sparkSession
+    start, end = as_range(start, end)
+    hour = F.make_timestamp_ntz("year", "month", "day", "hour", F.lit(0), F.lit(0))
+    inside = (hour >= ntz(start)) & (hour <= ntz(end))
+    rows = df.where(inside)
+    if path_exists(spark, root):
+        months = F.col("year") * 12 + F.col("month")
+        near = scan_partitioned(spark, root).where(
+            months.between(start.year * 12 + start.month, end.year * 12 + end.month) & ~inside
+        )
+        touched = rows.select(*keys).distinct()
+        rows = rows.unionByName(cut_lineage(near.join(touched, list(keys), "left_semi"), "outside"), allowMissingColumns=True)
+    write_partitioned(rows, root, keys, **options)
+
+
 def scan_partitioned(spark, root, merge=True):
     """Partitioned table with the union of its files' columns."""
     return spark.read.option("mergeSchema", merge).parquet(str(root))

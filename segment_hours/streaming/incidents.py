@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from segment_hours.config import SEGMENT
+from segment_hours.functions.time import as_range
+
 
+def count_incidents(stream, event="EVENT_DATETIME", reason="INCIDENT_REASON", delay=None):
+    """Running counts per hour, of all rows however late they come.
 
-def count_incidents(stream, event="EVENT_DATETIME", reason="INCIDENT_REASON", delay="7 days"):
-    """Running counts per hour; rows later than ``delay`` behind the newest event are left out.
+    With a ``delay`` rows further behind the newest event are left out, and hours before that leave the state.
 
     Event times are zone-free; a watermark needs a zoned column, and the session zone is UTC.
     """
     timed = stream.withColumn("_event", F.col(event).cast("timestamp"))
-    grouped = timed.withWatermark("_event", delay).groupBy(F.window("_event", "1 hour"), SEGMENT, reason)
+    timed = timed.withWatermark("_event", delay) if delay else timed
+    grouped = timed.groupBy(F.window("_event", "1 hour"), SEGMENT, reason)
     counts = grouped.agg(F.count("*").alias("n"))
     return counts.select(SEGMENT, F.col("window.start").cast("timestamp_ntz").alias("ts"), reason, "n")
 
@@ -41,11 +47,21 @@ def latest_counts(spark, out, reason="INCIDENT_REASON"):
     return written.groupBy(SEGMENT, "ts", reason).agg(F.max_by("n", "batch").alias("n"))
 
 
+def weekly_windows(start, end):
+    """Windows (first hour, last hour) that cover start to end, a new one each Sunday at midnight."""
+    start, end = as_range(start, end)
+    while start <= end:
+        days = 7 - (start.isoweekday() % 7)
+        following = dt.datetime.combine(start.date() + dt.timedelta(days=days), dt.time())
+        yield start, min(end, following - dt.timedelta(hours=1))
+        start = following
+
+
 def run_chunks(write_range, windows):
     """Backfill: the same batch operator over a list of (start, end) windows, one after the other.
 
-    With a sink that replaces only the partitions it writes, a window can be run again at any time.
-    Windows must not share a partition.
+    With a sink that replaces only the hours of the window (``sources.tables.write_window``), windows may share a
+    partition, and each can be run again at any time.
     """
     for start, end in windows:
         write_range(start, end)
