@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from segment_hours.llm.common import Words, documents, fmix, fresh, signed, stage, text_blocks, texts_of
 from segment_hours.llm.components import components
+from segment_hours.session import spread
 
 # Coordinates of a signature, and how many two documents must share. At a similarity of 0.8 a pair shares 38 on
 # average; less than 24 has a probability of about 2e-6.
@@ -16,10 +16,11 @@ COORDINATES = 48
 MATCHES = 24
 SHINGLE = 5
 THRESHOLD = 80
-# Rounds in which the lists are searched from one document each, before what is left is compared in full.
-ROUNDS = 4
+# Rows of a part of a list or family, and shingles of a part of a family: what one task compares at once.
+BLOCK = 1024
+BLOCK_SHINGLES = 1 << 20
 
-_SIGNED = "rid long, doc_id long, n_shingles long, s1 long, s2 long, sig array<int>"
+_SIGNED = "rid long, doc_id long, n_shingles long, s1 long, s2 long, sig array<int>, low binary"
 
 
 def shingle_sets(texts, width):
@@ -69,33 +70,16 @@ def _signer(width, k):
                     pa.array(s1),
                     pa.array(s2),
                     pa.ListArray.from_arrays(np.arange(0, sig.size + 1, k, dtype=np.int32), pa.array(sig.reshape(-1))),
+                    pa.array([row.tobytes() for row in sig.astype(np.uint8)], pa.binary()),
                 ],
-                ["rid", "doc_id", "n_shingles", "s1", "s2", "sig"],
+                ["rid", "doc_id", "n_shingles", "s1", "s2", "sig", "low"],
             )
 
     return run
 
 
-def _confirm(width, threshold):
-    """Pairs (a, b) of texts whose full shingle sets reach the threshold: 100 * intersection >= threshold * union."""
-
-    def run(batches):
-        last, of_last = None, None
-        for part in text_blocks(batches, "ta"):
-            keep = []
-            sets = shingle_sets(texts_of(part, "ta"), width)
-            for b, text, own in zip(part.column("b").to_pylist(), part.column("tb").to_pylist(), sets, strict=True):
-                if b != last:
-                    last, of_last = b, next(shingle_sets([text], width))
-                both = len(np.intersect1d(own, of_last, assume_unique=True))
-                keep.append(100 * both >= threshold * (len(own) + len(of_last) - both))
-            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
 def _posted(classes, k, least):
-    """Postings (key, cid): every class under the coordinates of its prefix that another class shares.
+    """Postings (key, cid, low): every class under the coordinates of its prefix that another class shares.
 
     Two classes that share ``least`` of ``k`` coordinates share one of their first ``k - least + 1`` in any common
     order; the order is by rarity, so long lists are skipped. Coordinates that nobody else has come first and need no
@@ -106,32 +90,162 @@ def _posted(classes, k, least):
     shared = coordinates.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     own = coordinates.join(shared, "key").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys"))
     prefix = F.slice("keys", 1, F.size("keys") - (least - 1))
-    return own.where(F.size("keys") >= least).select("cid", F.explode(prefix).alias("p")).select("p.key", "cid")
+    own = own.where(F.size("keys") >= least).join(classes.select("cid", "low"), "cid")
+    return own.select("cid", "low", F.explode(prefix).alias("p")).select("p.key", "cid", "low")
+
+
+def _cells(batches):
+    """Tables of whole cells, in the order of the rows, and the index of each cell's first row (and the end)."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        if rest is not None:
+            rows = pa.concat_tables([rest, rows]).combine_chunks()
+        if not rows.num_rows:
+            continue
+        cell = rows.column("cell").to_numpy()
+        first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+        rest = rows.slice(first[-1])
+        if len(first) > 1:
+            yield rows.slice(0, first[-1]), first
+    if rest is not None:
+        yield rest, np.array([0, rest.num_rows])
+
+
+def _forest(roots, sides, match):
+    """Pairs of positions that connect what ``match`` connects, at most one less than there are positions.
+
+    ``match(i, others)`` tells which of ``others`` are alike to ``i``. Positions with one root are connected already and
+    not compared, nor are those of one side, if sides are given.
+    """
+    part = np.unique(roots, return_inverse=True)[1]
+    pairs = []
+    for i in range(len(part) - 1):
+        open_ = part[i + 1 :] != part[i]
+        if sides is not None:
+            open_ &= sides[i + 1 :] != sides[i]
+        others = np.flatnonzero(open_) + i + 1
+        if not len(others):
+            continue
+        hits = others[match(i, others)]
+        if len(hits):
+            joined, at = np.unique(part[hits], return_index=True)
+            pairs += [(i, j) for j in hits[at]]
+            part[np.isin(part, joined)] = part[i]
+    return pairs
+
 
+def _edges(cid, pairs):
+    pairs = np.asarray(pairs, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(cid[pairs[:, 0]]), pa.array(cid[pairs[:, 1]])], ["a", "b"])
 
-def _matching(pairs, classes, least):
-    """Pairs (a, b) whose signatures agree in ``least`` coordinates."""
-    left = classes.select(F.col("cid").alias("a"), F.col("sig").alias("sa"))
-    right = classes.select(F.col("cid").alias("b"), F.col("sig").alias("sb"))
-    same = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda e: e))
-    return pairs.join(left, "a").join(right, "b").where(same >= least).select("a", "b")
 
+def _low(rows, k):
+    return np.frombuffer(b"".join(rows.column("low").to_pylist()), np.uint8).reshape(-1, k)
 
-def _linked(pairs, texts, width, threshold):
-    """Pairs whose full sets reach the threshold. Texts travel, which are smaller than their sets."""
-    left = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("cid").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(_confirm(width, threshold), "a long, b long")
+
+def _colliding(k, least, across):
+    """Counts collisions of the signatures in a cell of a list; pairs (a, b) that connect those with ``least``.
+
+    Only the low byte of a coordinate is compared, which can add a candidate but not lose one.
+    """
+
+    def run(batches):
+        for rows, first in _cells(batches):
+            cid, root = rows.column("cid").to_numpy(), rows.column("root").to_numpy()
+            side = rows.column("side").to_numpy() if across else None
+            low, ends = _low(rows, k), np.append(first[first < len(cid)], len(cid))
+            sizes = np.diff(ends)
+            twos = ends[:-1][sizes == 2]
+            if across:
+                twos = twos[side[twos] != side[twos + 1]]
+            twos = twos[(low[twos] == low[twos + 1]).sum(1) >= least]
+            pairs = list(zip(twos, twos + 1, strict=True))
+            for at in np.flatnonzero(sizes > 2):
+                own = slice(ends[at], ends[at + 1])
+                mine = low[own]
+                found = _forest(root[own], side[own] if across else None, lambda i, o, m=mine: (m[o] == m[i]).sum(1) >= least)
+                pairs += [(ends[at] + i, ends[at] + j) for i, j in found]
+            yield _edges(cid, pairs)
+
+    return run
+
+
+def _alike(k, least, width, threshold, across):
+    """Pairs (a, b) that connect the texts of a cell whose full sets reach the threshold:
+    100 * intersection >= threshold * union. Only pairs with ``least`` collisions are looked at."""
+
+    def run(batches):
+        for rows, first in _cells(batches):
+            ends = np.append(first[first < rows.num_rows], rows.num_rows)
+            for start, end in zip(ends[:-1], ends[1:], strict=True):
+                yield _edges(*_alike_in(rows.slice(start, end - start), k, least, width, threshold, across))
+
+    return run
 
 
-def near_groups(docs, width=SHINGLE, threshold=THRESHOLD, k=COORDINATES, least=MATCHES):
+def _alike_in(rows, k, least, width, threshold, across):
+    cid, low = rows.column("cid").to_numpy(), _low(rows, k)
+    sets = []
+    for batch in rows.combine_chunks().to_batches():
+        for part in text_blocks([batch]):
+            sets += shingle_sets(texts_of(part), width)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    ids = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(sizes)[:-1])
+    mark = np.zeros(int(sizes.sum()), bool)
+
+    def match(i, others):
+        small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+        good = (100 * small >= threshold * large) & ((low[others] == low[i]).sum(1) >= least)
+        at = np.flatnonzero(good)
+        mark[ids[i]] = True
+        both = np.array([np.count_nonzero(mark[ids[j]]) for j in others[at]], np.int64)
+        mark[ids[i]] = False
+        good[at] = 100 * both >= threshold * (sizes[others[at]] + sizes[i] - both)
+        return good
+
+    return cid, _forest(rows.column("root").to_numpy(), rows.column("side").to_numpy() if across else None, match)
+
+
+def _dealt(rows, cell, side):
+    """``rows`` dealt into cells that come whole and in order within a partition."""
+    return spread(rows.withColumn("cell", cell).withColumn("side", side), "cell").sortWithinPartitions("cell")
+
+
+def _across(rows, root):
+    """Rows (g, parts, cid, ...) of the groups that still have several roots, once for every pair of their parts."""
+    rows = rows.join(root.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    mixed = rows.groupBy("g").agg(F.min("root").alias("low_root"), F.max("root").alias("high_root")).where("low_root <> high_root")
+    rows = rows.join(mixed.select("g"), "g")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("other <> part")
+    return _dealt(rows, F.xxhash64("g", F.least("part", "other"), F.greatest("part", "other")), F.col("part"))
+
+
+def _families(posted, k, least, block):
+    """(node, root): classes connected by pairs with ``least`` collisions."""
+    large = posted.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    large = stage(large.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "large_lists")
+    # Another cut of every list, so that the parts of one meet in the parts of others.
+    lists = posted.join(large, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    lists = lists.withColumn("part", F.pmod(F.xxhash64("cid", "key"), F.col("parts")).cast("int"))
+    lists = lists.select(F.col("key").alias("g"), "parts", "part", "cid", "low")
+    cells = _dealt(lists.withColumn("root", F.col("cid")), F.xxhash64("g", "part"), F.lit(0))
+    links = stage(cells.mapInArrow(_colliding(k, least, False), "a long, b long").distinct(), "collisions")
+    labels = components(links, "families")
+    rest = _across(lists.where("parts > 1"), labels).mapInArrow(_colliding(k, least, True), "a long, b long")
+    rest = stage(rest.distinct(), "collisions")
+    return labels if rest.isEmpty() else components(links.union(rest), "families")
+
+
+def near_groups(docs, width=SHINGLE, threshold=THRESHOLD, k=COORDINATES, least=MATCHES, block=BLOCK, block_shingles=BLOCK_SHINGLES):
     """(rid, doc_id, n_shingles, component_id): components of documents whose shingle sets are alike.
 
     Documents with one set form a class, so copies cost nothing further. Classes are posted under coordinates of their
-    signatures. In some rounds every class of a list is paired with one class of it, another one each round, as far as
-    they are not connected yet. What is then left in different components is paired across components, list by list. So every
-    pair that shares ``least`` coordinates is compared or already connected, and large groups do not unfold into
-    all their pairs. Links are confirmed on the full sets.
+    signatures. Collisions are counted inside the lists; what shares ``least`` of them forms families. The texts
+    of a family meet once, and links are confirmed on their full sets. In both steps a task gives only the links that
+    connect its rows, so groups do not unfold into pairs. Lists over ``block`` rows and families over ``block`` rows or
+    ``block_shingles`` are cut into parts; where parts are not connected, every two of them are compared. So each pair that
+    shares ``least`` coordinates is compared or already connected.
 
     Null text, empty text and text without words have an empty set and are linked with nothing. Repeated rows have equal
     sets. Null ids take part; a component of null ids only has a null id. Other columns are ignored.
@@ -143,45 +257,29 @@ def near_groups(docs, width=SHINGLE, threshold=THRESHOLD, k=COORDINATES, least=M
     signed_rows = stage(signed_rows, "signatures")
     filled = signed_rows.where("n_shingles > 0")
     first = filled.groupBy("cid").agg(F.min("rid").alias("rid"))
-    classes = stage(filled.join(first, ["cid", "rid"]).dropDuplicates(["cid"]).select("cid", "rid", "sig"), "classes")
-    posted = stage(_posted(classes, k, least), "postings")
-
-    wanted = posted.select("cid").distinct().join(classes.select("cid", "rid"), "cid")
-    texts = rows.select("rid", F.col("text").cast("binary").alias("text")).join(wanted, "rid").select("cid", "text")
-    if filled.groupBy("rid").count().where("count > 1").limit(1).count():
-        texts = texts.dropDuplicates(["cid"])  # of rows repeated whole, one
-    # Both tables are dealt by class once and joined many times.
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = stage(texts, "texts").repartition(n, "cid").persist(StorageLevel.DISK_ONLY)
-    sigs = classes.select("cid", "sig").join(wanted.select("cid"), "cid").repartition(n, "cid").persist(StorageLevel.DISK_ONLY)
-
-    labels, turn = None, 0
-    while turn <= ROUNDS:
-        open_lists = posted.withColumn("root", F.col("cid"))
-        if labels is not None:
-            open_lists = posted.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-            open_lists = stage(open_lists, "labelled")
-        mixed = open_lists.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        rest = stage(open_lists.join(mixed, "key"), "open")
-        if labels is not None and rest.isEmpty():
-            break
-        if turn < ROUNDS:
-            order = F.struct(F.xxhash64("cid", F.lit(turn)), "cid", "root")
-            leaders = rest.groupBy("key").agg(F.min(order).alias("l")).select("key", F.col("l.cid").alias("b"), F.col("l.root").alias("rb"))
-            pairs = rest.join(leaders, "key").where("root <> rb").select(F.col("cid").alias("a"), "b")
-        else:
-            left = rest.select("key", F.col("cid").alias("a"), F.col("root").alias("ra"))
-            right = rest.select("key", F.col("cid").alias("b"), F.col("root").alias("rb"))
-            pairs = left.join(right, "key").where("ra > rb").select("a", "b")
-        links = stage(_linked(_matching(pairs.distinct(), sigs, least), texts, width, threshold), "links")
-        nothing = links.isEmpty()
-        if labels is None or not nothing:
-            labels = components(links if labels is None else links.union(labels), "near")
-        # After a round without a link the rest is compared in full at once.
-        turn = ROUNDS if nothing and turn < ROUNDS else turn + 1
-    groups = labels
-    texts.unpersist()
-    sigs.unpersist()
+    classes = filled.join(first, ["cid", "rid"]).dropDuplicates(["cid"]).select("cid", "rid", "n_shingles", "sig", "low")
+    classes = stage(classes, "classes")
+    families = _families(stage(_posted(classes, k, least), "postings"), k, least, block)
+
+    members = families.withColumnRenamed("node", "cid").withColumnRenamed("root", "g")
+    members = members.join(classes.select("cid", "rid", "n_shingles", "low"), "cid")
+    parts = F.ceil(F.greatest(F.count("*") / block, F.sum("n_shingles") / block_shingles)).cast("int")
+    large = stage(members.groupBy("g").agg(parts.alias("parts")).where("parts > 1"), "large_families")
+    members = members.join(large, "g", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    members = members.withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")).drop("n_shingles")
+    members = members.withColumn("root", F.col("cid"))
+    texts = rows.select("rid", F.col("text").cast("binary").alias("text"))
+    # The first member of a family is in all of its parts.
+    everywhere = F.when(F.col("cid") == F.col("g"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
+    cells = texts.join(members.withColumn("part", F.explode(everywhere)), "rid")
+    cells = _dealt(cells, F.xxhash64("g", "part"), F.lit(0))
+    links = stage(cells.mapInArrow(_alike(k, least, width, threshold, False), "a long, b long"), "links")
+    groups = components(links, "near")
+    rest = texts.join(members.where("parts > 1"), "rid").drop("root")
+    rest = _across(rest, groups).mapInArrow(_alike(k, least, width, threshold, True), "a long, b long")
+    rest = stage(rest, "links")
+    if not rest.isEmpty():
+        groups = components(links.union(rest), "near")
 
     joined = signed_rows.join(groups.withColumnRenamed("node", "cid"), "cid", "left")
     joined = joined.withColumn("root", F.coalesce("root", "cid")).select("rid", "doc_id", "n_shingles", "root")

@@ -90,13 +90,31 @@ def test_fingerprints_combine():
         assert whole == exact_dedup.polynomial(data, base, modulus)
 
 
-def test_minhash_dedup(docs, pairs, empty):
-    rows = minhash_dedup.near_groups(docs, width=2).select("doc_id", "n_shingles", "component_id").collect()
+@pytest.mark.parametrize("block", [1024, 3])
+def test_minhash_dedup(docs, pairs, empty, block):
+    rows = minhash_dedup.near_groups(docs, width=2, block=block).select("doc_id", "n_shingles", "component_id").collect()
     want = {d: (n, c) for d, (n, c, _) in plain.op6(pairs).items()}
     assert {r[0]: (r[1], r[2]) for r in rows} == want
     assert minhash_dedup.near_groups(empty).count() == 0
 
 
+def test_minhash_dedup_of_large_groups(spark):
+    """Copies at many distances, cut into parts by rows and by shingles: no link is lost."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(500)]
+    rows = []
+    for _ in range(2):
+        base = [rng.choice(words) for _ in range(150)]
+        for i in range(120):
+            share = (i % 12) / 40
+            rows.append((len(rows), " ".join(w if rng.random() > share else rng.choice(words) for w in base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = {d: (n, c) for d, (n, c, _) in plain.op6(rows).items()}
+    for options in ({"block": 16}, {"block_shingles": 2_000}):
+        got = minhash_dedup.near_groups(docs, width=2, **options).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_repeated_rows_keep_their_groups(spark, docs):
     twice = docs.union(docs)
     assert exact_dedup.exact_groups(twice).where("group_size % 2 = 1").count() == 0
