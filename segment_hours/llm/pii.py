@@ -20,8 +20,9 @@ _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _PATTERNS = dict(zip(KINDS, (_EMAIL, _IP, _CARD, _PHONE), strict=True))
 
-# A label in front of a value: up to three words and a mark. The words are the lexical patterns.
-_LABEL = r"(?<!\p{L})((?:\p{L}++\x20){0,2}\p{L}++\x20?[:=#]\x20*)([^\x20\x09-\x0D,;]+(?:\x20[0-9().-]+)*)"
+# A label in front of a value: up to three words and a mark. The words are the lexical patterns. Possessive as well:
+# a value may be a list of very many numbers, and each repeat that could be given back would stay on the stack.
+_LABEL = r"(?<!\p{L})((?:\p{L}++\x20){0,2}\p{L}++\x20?[:=#]\x20*)([^\x20\x09-\x0D,;]++(?:\x20[0-9().-]++)*+)"
 # What an unseen identifier must look like: four digits or an at sign between characters.
 _SHAPE = r"(?:[0-9][^0-9]*){4}|[^@]@[^@]"
 

@@ -140,6 +140,16 @@ def test_pii_finds_unseen_identifiers_behind_a_label(spark):
     assert found[51] == ""
 
 
+def test_pii_reads_very_long_values(spark):
+    """A label before very many numbers, a long run of letters, digits or dotted parts: whole texts, no stack overflow."""
+    n, few = 60_000, 5_000  # the brute-force patterns are slow on long runs
+    texts = ["data: " + "1.5 " * n, "list: " + "(2) " * n, "a " * n + ": 1234", "+1" + " (0)" * n]
+    texts += ["x" * few, "1" * few, "a@" + "b." * few + "c", "a: " + "1-" * few]
+    rows = list(enumerate(texts))
+    got = {r[0]: tuple(r)[1:6] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: plain.op2(t) for d, t in rows}
+
+
 def test_secret_scan(spark, docs, pairs, empty, tmp_path):
     ledger = str(tmp_path / "ledger")
     got = {r[0]: tuple(r)[1:5] for r in secret_scan.digest(secret_scan.scan(docs, ledger)).collect()}
