@@ -72,3 +72,34 @@ def parse_period_name(name):
     period = F.concat(F.lit("P"), F.regexp_extract(name, _PERIOD_NAME, 2))
     hit = name.rlike(_PERIOD_NAME)
     return F.struct(F.when(hit, season).alias("season"), F.when(hit, period).alias("period"))
+
+
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+_ALPHABET = "0123456789" + _LETTERS
+
+
+def fixed_code(number, width):
+    """Code of exactly ``width`` characters, another one for every number from 0.
+
+    Digits with leading zeros as far as they reach; from 10**width on a letter, then letters and digits. A number beyond
+    the last code is an error.
+    """
+    base, plain = len(_ALPHABET), 10**width
+    wide = number.cast("bigint") - plain + len("0123456789") * base ** (width - 1)
+    signs = [
+        F.substring(F.lit(_ALPHABET), (F.floor(wide / F.lit(base**i)) % base + 1).cast("int"), F.lit(1)) for i in reversed(range(width))
+    ]
+    beyond = F.raise_error(F.concat(number.cast("string"), F.lit(f" has no code of {width} characters")))
+    return (
+        F.when(number.between(0, plain - 1), F.lpad(number.cast("string"), width, "0"))
+        .when(number.isNotNull() & ((number < 0) | (wide >= base**width)), beyond)
+        .otherwise(F.concat(*signs))
+    )
+
+
+def code_number(code, width):
+    """The number that :func:`fixed_code` turned into ``code``."""
+    base = len(_ALPHABET)
+    signs = [(F.instr(F.lit(_ALPHABET), F.substring(code, i + 1, 1)) - 1).cast("bigint") * base ** (width - 1 - i) for i in range(width)]
+    wide = sum(signs[1:], signs[0]) - len("0123456789") * base ** (width - 1) + 10**width
+    return F.when(code.rlike("^[0-9]+$"), code.cast("bigint")).otherwise(wide)

@@ -455,41 +455,48 @@ def schedule_hops(spark, sf):
     return schedule.hops_of_stops(placed).select("train_id", "stanox_dep", "stanox_arr", "daysofweek", "dep_time")
 
 
-# line numbers a schedule may use in the text below; 100,000 schedules make a slice
-_LINES_PER_SCHEDULE = 10_000_000
+# Widths of the train, place and station fields of the timetable text below; 100,000 schedules make a slice.
+_TRAIN, _PLACE, _STATION = 6, 6, 5
+_SCHEDULES_PER_SLICE = 100_000
 
 
 @query
 def timetable_lines_to_hops(spark, sf):
-    """Fixed-width timetable text of all orders and line items, parsed back to hops."""
+    """Fixed-width timetable text of all orders and line items, parsed back to hops; their codes become keys again."""
     lines = _timetable_lines(spark, sf)
-    return schedule.schedule_hops(lines, lines_per_slice=100_000 * _LINES_PER_SCHEDULE).select(
-        "train_id", "stanox_dep", "stanox_arr", "daysofweek", "dep_time", "start_date", "end_date"
+    hops = schedule.schedule_hops(lines, place=F.floor(F.col("line_no.schedule") / _SCHEDULES_PER_SLICE))
+    train = text.code_number(F.col("train_id"), _TRAIN)
+    stations = [text.code_number(F.col(f"stanox_{c}"), _STATION).cast("string").alias(f"stanox_{c}") for c in ("dep", "arr")]
+    return hops.select(
+        F.lpad(train.cast("string"), F.greatest(F.lit(_TRAIN), F.length(train.cast("string"))), F.lit("0")).alias("train_id"),
+        *stations,
+        "daysofweek",
+        "dep_time",
+        "start_date",
+        "end_date",
     )
 
 
 def _timetable_lines(spark, sf):
-    def padded(value, width):
-        return F.rpad(value.cast("string"), width, " ")
+    def number(schedule, line, part, supplier):
+        """Place of a line: schedules in order, their stops by the whole keys."""
+        fields = {"schedule": schedule, "line": line, "part": part, "supplier": supplier}
+        return F.struct(*[c.cast("bigint").alias(n) for n, c in fields.items()]).alias("line_no")
 
-    def number(key, line=0):
-        return (key + 1) * _LINES_PER_SCHEDULE + line
+    def place(supplier):
+        return F.concat(F.lit("T"), text.fixed_code(supplier, _PLACE))
 
+    none = F.lit(0)
     code = F.when(F.col("s_suppkey") % 10 == 0, 0).otherwise(F.col("s_suppkey") + 10000)
     suppliers = fx.table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("line_no"),
-        F.concat(
-            F.lit("TI"),
-            padded(F.concat(F.lit("T"), "s_suppkey"), 7),
-            F.lit(" " * 35),
-            F.lpad(code.cast("string"), 5, "0"),
-        ).alias("line"),
+        number(F.lit(-1), none, none, F.col("s_suppkey")),
+        F.concat(F.lit("TI"), place(F.col("s_suppkey")), F.lit(" " * 35), text.fixed_code(code, _STATION)).alias("line"),
     )
     schedules = fx.validity(spark, sf).select(
-        number(F.col("o_orderkey")).alias("line_no"),
+        number(F.col("o_orderkey"), none, none, none),
         F.concat(
             F.lit("BSN"),
-            F.lpad(F.col("o_orderkey").cast("string"), 6, "0"),
+            text.fixed_code(F.col("o_orderkey"), _TRAIN),
             F.date_format("start_date", "yyMMdd"),
             F.date_format("end_date", "yyMMdd"),
             "daysofweek",
@@ -502,10 +509,9 @@ def _timetable_lines(spark, sf):
     stop = F.col("l_linenumber")
     kind = F.when(stop == 1, "LO").when(stop == 7, "LT").otherwise("LI")
     times = F.when(kind == "LI", F.concat(arr, F.lit(" "), dep)).when(kind == "LO", dep).otherwise(arr)
-    rank = (F.col("l_partkey") * 100 + F.col("l_suppkey")) % 1_000_000
     stops = fx.table(spark, sf, "lineitem").select(
-        number(F.col("l_orderkey"), stop * 1_000_000 + rank).alias("line_no"),
-        F.concat(kind, padded(F.concat(F.lit("T"), "l_suppkey"), 7), F.lit(" "), times).alias("line"),
+        number(F.col("l_orderkey"), stop, F.col("l_partkey"), F.col("l_suppkey")),
+        F.concat(kind, place(F.col("l_suppkey")), F.lit(" "), times).alias("line"),
     )
     lines = suppliers.unionByName(schedules).unionByName(stops)
     return lines.withColumn("archive", F.lit("all.zip"))
