@@ -20,51 +20,59 @@ _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _PATTERNS = dict(zip(KINDS, (_EMAIL, _IP, _CARD, _PHONE), strict=True))
 
-# A label in front of a value: up to three words and a mark. The words are the lexical patterns. Possessive as well:
-# a value may be a list of very many numbers, and each repeat that could be given back would stay on the stack.
-_LABEL = r"(?<!\p{L})((?:\p{L}++\x20){0,2}\p{L}++\x20?[:=#]\x20*)([^\x20\x09-\x0D,;]++(?:\x20[0-9().-]++)*+)"
-# What an unseen identifier must look like: four digits or an at sign between characters.
+# Values that stand where an identifier may stand: base matches, and numbers or words that look like one (four digits,
+# or an at sign between characters). As above, each repeat is of one character class or possessive.
+_IN = r"\p{L}\p{N}@._%+/-"
+_NUMBERS = rf"(?<![{_IN}])(?=\(?(?:[\x20().-]*+[0-9]){{4}})\(?[0-9][\x20().0-9-]*[0-9](?![\p{{L}}@_%+/])"
+_WORDLIKE = rf"(?<![{_IN}])(?=(?:[\p{{L}}@._%+/-]*+[0-9]){{4}}|[\p{{L}}\p{{N}}._%+/-]++@[\p{{L}}\p{{N}}])[{_IN}]*[\p{{L}}\p{{N}}]"
+_LONG_CARD = r"(?=(?:[0-9][\x20-]?){12})" + _CARD
+_CANDIDATE = f"{_EMAIL}|{_PHONE}|{_IP}|{_LONG_CARD}|{_NUMBERS}|{_WORDLIKE}"
+# What an unseen identifier must look like.
 _SHAPE = r"(?:[0-9][^0-9]*){4}|[^@]@[^@]"
+# So many words next to a value are its lexical patterns; the first words of a text, with the space in front.
+CONTEXT = 3
+_FIRST_WORDS = rf"^\s*+(?:\S++\s++){{0,{CONTEXT - 1}}}\S++"
 
 # Marks set around matches; where a text holds them itself, another character stands for them.
-_OPEN, _MIDDLE, _CLOSE, _OTHER = "\ue000", "\ue001", "\ue002", "\ufffd"
+_OPEN, _CLOSE, _OTHER = "\ue000", "\ue002", "\ufffd"
 
 ROUNDS = 3
-# A pattern must have so many different seed identifiers of its kind, and this mean score over all values behind it.
+# A pattern must have so many different seed identifiers of its kind, and this mean score over all values next to it.
 LEAST_SEEDS = 5
 LEAST_SCORE = 0.8
 
 
 def _cut(text, pattern, marks):
     """The text cut before each match: entries after the first start with the marked match."""
-    clean = F.translate(text, _OPEN + _MIDDLE + _CLOSE, _OTHER * 3)
+    clean = F.translate(text, _OPEN + _CLOSE, _OTHER * 2)
     return F.split(F.regexp_replace(clean, F.lit(pattern), F.lit(marks)), _OPEN, -1)
 
 
-def _base_parts(parts, kind):
-    """(kind, i, whole, value) per entry: ``whole`` characters of the text, the match in front of them."""
-    return F.transform(
-        parts,
-        lambda p, i: F.struct(
-            F.lit(kind).alias("kind"),
-            i.alias("i"),
-            (F.length(p) - (i > 0).cast("int")).alias("whole"),
-            F.when(i > 0, F.substring_index(p, _CLOSE, 1)).alias("value"),
-            F.lit(None).cast("string").alias("label"),
-        ),
-    )
+def _first_words(text):
+    return F.regexp_extract(text, _FIRST_WORDS, 0)
+
+
+def _last_words(text):
+    """Read from the end, so that a long text is not searched."""
+    return F.reverse(_first_words(F.reverse(text)))
+
+
+def _parts(parts, kind, words=False):
+    """(kind, i, whole, value, tail, rest) per entry: ``whole`` characters of the text, the match in front of them.
 
+    With ``words`` also the last words of the entry and the first ones behind the match.
+    """
 
-def _label_parts(parts):
     def one(p, i):
-        label = F.when(i > 0, F.substring_index(p, _MIDDLE, 1))
-        value = F.substring_index(F.substring_index(p, _CLOSE, 1), _MIDDLE, -1)
+        none = F.lit(None).cast("string")
+        rest = F.when(i > 0, _first_words(F.substring_index(p, _CLOSE, -1)))
         return F.struct(
-            F.lit("label").alias("kind"),
+            F.lit(kind).alias("kind"),
             i.alias("i"),
-            (F.length(p) - 2 * (i > 0).cast("int")).alias("whole"),
-            F.when(i > 0, value).alias("value"),
-            label.alias("label"),
+            (F.length(p) - (i > 0).cast("int")).alias("whole"),
+            F.when(i > 0, F.substring_index(p, _CLOSE, 1)).alias("value"),
+            (F.translate(_last_words(p), _CLOSE, "") if words else none).alias("tail"),
+            (rest if words else none).alias("rest"),
         )
 
     return F.transform(parts, one)
@@ -84,43 +92,65 @@ def _valid(kind, value):
 
 
 def matches(docs):
-    """Two stages: rows (uid, doc_id) of all documents, and (uid, kind, start, end, value, label) of all valid base
-    matches and all labelled values (kind ``label``). Offsets are code points."""
+    """Two stages: rows (uid, doc_id) of all documents, and (uid, kind, start, end, value, before, after) of all valid
+    base matches and of all candidates (kind ``candidate``) with up to three words on each side. Offsets are code points."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     cuts = {f"c_{k}": _cut(F.col("text"), f"({p})", f"{_OPEN}$1{_CLOSE}") for k, p in _PATTERNS.items()}
-    cuts["c_label"] = _cut(F.col("text"), _LABEL, f"{_OPEN}$1{_MIDDLE}$2{_CLOSE}")
+    cuts["c_candidate"] = _cut(F.col("text"), f"({_CANDIDATE})", f"{_OPEN}$1{_CLOSE}")
     cut = rows.select("uid", "doc_id", *[c.alias(n) for n, c in cuts.items()])
-    empty = F.array().cast("array<struct<kind: string, i: int, whole: int, value: string, label: string>>")
-    parts = [F.when(F.size(f"c_{k}") > 1, _base_parts(F.col(f"c_{k}"), k)).otherwise(empty) for k in KINDS]
-    parts.append(F.when(F.size("c_label") > 1, _label_parts(F.col("c_label"))).otherwise(empty))
+    empty = F.array().cast("array<struct<kind: string, i: int, whole: int, value: string, tail: string, rest: string>>")
+    parts = [F.when(F.size(f"c_{k}") > 1, _parts(F.col(f"c_{k}"), k)).otherwise(empty) for k in KINDS]
+    parts.append(F.when(F.size("c_candidate") > 1, _parts(F.col("c_candidate"), "candidate", words=True)).otherwise(empty))
     found = stage(cut.select("uid", "doc_id", F.concat(*parts).alias("parts")), "matches")
     each = found.select("uid", F.explode("parts").alias("p")).select("uid", "p.*")
-    upto = Window.partitionBy("uid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    placed = each.withColumn("start", F.sum("whole").over(upto).cast("int")).where("i > 0")
-    placed = placed.withColumn("start", F.col("start") + F.coalesce(F.length("label"), F.lit(0)))
-    placed = placed.where(_valid(F.col("kind"), F.col("value")))
-    spans = placed.select("uid", "kind", "start", (F.col("start") + F.length("value")).alias("end"), "value", "label")
+    along = Window.partitionBy("uid", "kind").orderBy("i")
+    placed = each.withColumn("start", F.sum("whole").over(along.rowsBetween(Window.unboundedPreceding, -1)).cast("int"))
+    # Every entry but the first holds a word, so as many entries as words hold all of them; a space stands for words left out.
+    behind = F.col("whole") - F.coalesce(F.length("value"), F.lit(0))
+    placed = placed.withColumns(
+        {
+            "tail": F.when(F.length("tail") < F.col("whole"), F.concat(F.lit(" "), "tail")).otherwise(F.col("tail")),
+            "rest": F.when(F.length("rest") < behind, F.concat("rest", F.lit(" "))).otherwise(F.col("rest")),
+        }
+    )
+    near = range(1, CONTEXT + 1)
+    earlier = [F.coalesce(F.lag("tail", k).over(along), F.lit("")) for k in reversed(near)]
+    later = [F.coalesce(F.lead(c, k).over(along), F.lit("")) for k in near for c in ("value", "rest")]
+    placed = placed.withColumns({"before": F.concat(*earlier), "after": F.concat("rest", *later)})
+    placed = placed.where("i > 0").where(_valid(F.col("kind"), F.col("value")))
+    before, after = _last_words(F.col("before")), _first_words(F.col("after"))
+    spans = placed.select(
+        "uid", "kind", "start", (F.col("start") + F.length("value")).alias("end"), "value", before.alias("before"), after.alias("after")
+    )
     return found.select("uid", "doc_id"), stage(spans, "spans")
 
 
-def _patterns(label):
-    """The last one, two and three words of a label, each with its mark, in lower case without spaces around the mark."""
-    clean = F.regexp_replace(F.lower(F.trim(label)), r"\x20(?=[:=#]$)", "")
-    words = F.split(clean, " ")
-    n = F.size(words)
-    return F.transform(F.sequence(F.lit(1), n), lambda k: F.array_join(F.slice(words, n - k + 1, k), " "))
+def _patterns(before, after):
+    """The last one, two and three words in front of a value and the first ones behind it, in lower case, with a mark of the side."""
+
+    def words(text):
+        clean = F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
+        return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
+
+    def some(text, side, cut):
+        parts = words(text)
+        return [F.when(F.size(parts) >= k, F.concat(F.lit(side), F.array_join(cut(parts, k), " "))) for k in range(1, CONTEXT + 1)]
+
+    front = some(before, "<", lambda w, k: F.slice(w, F.size(w) - k + 1, k))
+    return F.array_compact(F.array(*front, *some(after, ">", lambda w, k: F.slice(w, 1, k))))
 
 
 def mentions(spans):
-    """(uid, start, end, value, kind, patterns): labelled values; ``kind`` is that of a base match at the same place, if any.
+    """(uid, start, end, value, kind, patterns): candidates; ``kind`` is that of a base match at the same place, if any.
 
     Values that only overlap a base match are left out: they are neither seeds nor unseen.
     """
-    labelled = spans.where("kind = 'label'").select("uid", "start", "end", F.lower("value").alias("value"), _patterns(F.col("label")).alias("patterns"))
-    base = spans.where("kind <> 'label'").select("uid", F.col("kind").alias("base"), F.col("start").alias("s"), F.col("end").alias("e"))
+    patterns = _patterns(F.col("before"), F.col("after"))
+    candidates = spans.where("kind = 'candidate'").select("uid", "start", "end", F.lower("value").alias("value"), patterns.alias("patterns"))
+    base = spans.where("kind <> 'candidate'").select("uid", F.col("kind").alias("base"), F.col("start").alias("s"), F.col("end").alias("e"))
     # Both sides in one order of places: the furthest end so far and the nearest start after tell overlaps, with no join.
-    places = labelled.select("uid", "start", "end", "value", "patterns", F.lit(None).cast("string").alias("base")).unionByName(
+    places = candidates.select("uid", "start", "end", "value", "patterns", F.lit(None).cast("string").alias("base")).unionByName(
         base.select("uid", F.col("s").alias("start"), F.col("e").alias("end"), F.lit(None).cast("string").alias("value"), F.lit(None).cast("array<string>").alias("patterns"), "base")
     )
     # At one start base matches come first.
@@ -142,8 +172,8 @@ def mentions(spans):
 def bootstrap(seen, rounds=ROUNDS, least_seeds=LEAST_SEEDS, least_score=LEAST_SCORE):
     """(value, kind, score): values that high-confidence patterns take for identifiers of a kind.
 
-    The graph joins every pattern with the distinct values it precedes, over all documents. Values seen as a base match
-    score 1 for that kind. In each round a pattern's score is the mean score of its values, patterns with enough
+    The graph joins every pattern with the distinct values next to it, over all documents. Values seen as a base match
+    score 1 for that kind and are seeds, as are, from the next round on, values that reached the least score. In each round a pattern's score is the mean score of its values, patterns with enough
     seeds and score are kept, and a value that looks like an identifier scores ``1 - product(1 - score)`` over its kept patterns.
     """
     graph = seen.select(F.explode("patterns").alias("pattern"), "value", "kind").groupBy("pattern", "value").agg(F.max("kind").alias("kind"))
@@ -163,7 +193,7 @@ def bootstrap(seen, rounds=ROUNDS, least_seeds=LEAST_SEEDS, least_score=LEAST_SC
             (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("p"), F.lit(1e-9)))))).alias("score")
         )
         found = stage(reached.join(seeds.select("value").distinct(), "value", "left_anti"), "found")
-        scored = seeds.unionByName(found.withColumn("seed", F.lit(0)))
+        scored = seeds.unionByName(found.withColumn("seed", (F.col("score") >= least_score).cast("int")))
     return found.where(F.col("score") >= least_score)
 
 
@@ -178,7 +208,7 @@ def _listed(spans):
 def find(docs, **options):
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) per document.
 
-    The base matches of the four patterns seed the method; labelled values that it finds beyond them are added to ``spans``
+    The base matches of the four patterns seed the method; values that it finds beyond them by the words around are added to ``spans``
     with the kind of their patterns. They never touch a base match and do not change the counts or the hash.
 
     Null text and empty text have no spans. Whole texts are read, and each match is one row, so a long text full of
@@ -190,7 +220,7 @@ def find(docs, **options):
     found = bootstrap(seen, **options)
     best = found.groupBy("value").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
     added = seen.where("kind is null").select("uid", "start", "end", "value").join(best, "value")
-    base = spans.where("kind <> 'label'").select("uid", "kind", "start", "end", F.lit(True).alias("base"))
+    base = spans.where("kind <> 'candidate'").select("uid", "kind", "start", "end", F.lit(True).alias("base"))
     every = base.unionByName(added.select("uid", "kind", "start", "end", F.lit(False).alias("base")).distinct())
     counts = [F.count_if((F.col("kind") == k) & F.col("base")).alias(f"n_{k}") for k in KINDS]
     own = every.groupBy("uid").agg(*counts, _listed(F.col("base")).alias("own"), _listed(F.lit(True)).alias("spans"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -140,6 +141,32 @@ def test_pii_finds_unseen_identifiers_behind_a_label(spark):
     assert found[51] == ""
 
 
+def test_pii_finds_unseen_identifiers_by_the_words_around(spark):
+    """Words without a mark in front, words behind, and a context that only values found in an earlier round prove."""
+    seen = [f"we call me on +1 (20{i}) 555-01{i}{i} soon {i}" for i in range(8)]
+    seen += [f"{i} x{i} me{i}@host{i}.org is my mailbox{i} q" for i in range(8)]
+    seen += [f"n{i} y{i} z{i} 10.1.2.{i} answers the ping s{i}" for i in range(8)]
+    # numbers that no base pattern takes, behind the known words and then behind others
+    seen += [f"we call me on 0800 4{i}1 u{i}" for i in range(2)]
+    seen += [f"a{i} b{i} c{i} gateway-77{i}21 answers the ping t{i}" for i in range(2)]
+    rows = list(enumerate(seen))
+    found = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows[24:]:
+        value = re.search(r"0800 4[0-9]1|gateway-77[0-9]21", text)
+        assert found[i] == f"{'phone' if i < 26 else 'ip'}:{value.start()}:{value.end()}"
+
+
+def test_pii_takes_found_values_as_seeds(spark):
+    """Values found behind one pattern prove another one that has no base match."""
+    rows = [f"{i} call me on +1 (2{i:02d}) 555-01{i:02d}, k{i}" for i in range(40)]
+    rows += [f"v{i} call me on 0800 44{i}1, w{i}" for i in range(6)]
+    rows += [f"c{i} ring us at 0800 44{i}1, d{i}" for i in range(6)]
+    rows += ["c ring us at 0800 7777, d"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    last = {r.doc_id: r.spans for r in pii.find(df).collect()}[len(rows) - 1]
+    assert last == f"phone:{rows[-1].index('0800')}:{rows[-1].index(', d')}"
+
+
 def test_pii_reads_very_long_values(spark):
     """A label before very many numbers, a long run of letters, digits or dotted parts: whole texts, no stack overflow."""
     n, few = 60_000, 5_000  # the brute-force patterns are slow on long runs
