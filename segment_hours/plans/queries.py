@@ -18,9 +18,8 @@ from segment_hours.streaming import incidents as streaming
 
 QUERIES = {}
 
-# The given events cover January 2024.
-_FIRST, _LAST = "2024-01-01 00:00:00", "2024-01-30 23:00:00"
 _MIDDLE = ("2024-01-08 06:00:00", "2024-01-20 18:30:00")
+_PERIODS = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 REASONS = [f"R{i}" for i in range(7)]
 
 
@@ -35,6 +34,14 @@ def _rounded(df, digits=4, columns=None):
     return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in names}) if names else df
 
 
+def _event_hours(spark, sf):
+    """First and last hour of all events; any equal pair where there are none, as then there are no segments either."""
+    bounds = fx.table(spark, sf, "events").agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+    low, high = bounds.select(time.hour_floor(F.col("low")), time.hour_floor(F.col("high"))).first()
+    none = dt.datetime(1970, 1, 1)
+    return low or none, high or none
+
+
 def _dates_as_text(df):
     dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
     return df.withColumns({c: F.col(c).cast("string") for c in dates})
@@ -286,7 +293,7 @@ def nearest_station(spark, sf):
 @query
 def hourly_spine(spark, sf):
     segments = basics.segments(fx.event_segments(spark, sf))
-    return _rounded(spine.hourly_spine(segments, _FIRST, _LAST), 6)
+    return _rounded(spine.hourly_spine(segments, *_event_hours(spark, sf)), 6)
 
 
 @query
@@ -296,12 +303,15 @@ def asof_hourly_fill(spark, sf):
 
 @query
 def missing_partitions(spark, sf):
-    """Business periods without an order, per customer bucket."""
-    orders = fx.table(spark, sf, "orders").select(
+    """Business periods without an order, per customer bucket: 1995 to 2001, and on to the first and last order where they lie outside."""
+    table = fx.table(spark, sf, "orders")
+    low, high = table.agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+    low, high = min(low or _PERIODS[0], _PERIODS[0]), max(high or _PERIODS[1], _PERIODS[1])
+    orders = table.select(
         F.floor(F.col("o_custkey") / 16).alias("bucket"), time.business_period(F.col("o_orderdate")).alias("code")
     )
     existing = orders.distinct()
-    periods = time.period_calendar(spark, "1995-01-01", "2001-12-31").select("code")
+    periods = time.period_calendar(spark, low, high).select("code")
     codes = [row["code"] for row in periods.collect()]  # 14 a year
     required = existing.select("bucket").distinct().select(
         "bucket", F.explode(F.array(*[F.lit(c) for c in codes])).alias("code")
@@ -664,7 +674,7 @@ def chunked_equals_full(spark, sf):
     def write(start, end):
         tables.write_window(spine.hourly_spine(segments, start, end), root, start, end)
 
-    streaming.run_chunks(write, streaming.weekly_windows(_FIRST, _LAST))
+    streaming.run_chunks(write, streaming.weekly_windows(*_event_hours(spark, sf)))
     return spark.read.parquet(root).select(*HOUR_KEYS, "day_of_week")
 
 
@@ -749,7 +759,7 @@ def incident_dataset_by_number(spark, sf):
 @query
 def modelling_frame(spark, sf):
     """Spine of all segments with weather features, trains present and incidents of each hour."""
-    main = spine.hourly_spine(basics.segments(fx.event_segments(spark, sf)), _FIRST, _LAST)
+    main = spine.hourly_spine(basics.segments(fx.event_segments(spark, sf)), *_event_hours(spark, sf))
     weather_table = time.with_date_parts(weather.rolling_features(fx.hourly_events(spark, sf)), "ts").drop("ts")
     trains = schedule.hourly_occupancy(fx.trips(spark, sf)).drop("run_hour")
     return _rounded(frame.modelling_frame(main, weather_table, trains, incident_pivot(spark, sf)), 4)
