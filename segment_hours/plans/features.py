@@ -27,10 +27,10 @@ from segment_hours.sources.feeds import (
 from segment_hours.sources.tables import (
     read_period_files,
     read_year_tables,
-    scan_partitioned,
     write_partitioned,
     write_window,
 )
+from segment_hours.sources.versions import scan_versions
 
 
 def build_segment_map(spark, locations_path, track, **options):
@@ -127,6 +127,7 @@ def create_datasets(spark, out, segment_map, hops, incidents, weather, start, en
 
 
 def build_modelling_frame(spark, root, **options):
-    """Modelling frame of the tables written by :func:`create_datasets`."""
-    tables = [scan_partitioned(spark, f"{root}/{name}") for name in ("main", "weather", "timetable")]
-    return modelling_frame(*tables, scan_partitioned(spark, f"{root}/incidents"), **options)
+    """Modelling frame of the tables written by :func:`create_datasets`; of one segment or some dates only their files are listed."""
+    wanted = {k: options.get(k) for k in ("segment", "time_filter")}
+    tables = [scan_versions(spark, f"{root}/{name}", **wanted) for name in ("main", "weather", "timetable", "incidents")]
+    return modelling_frame(*tables, **options)

@@ -79,8 +79,7 @@ def scan_partitioned(spark, sf):
     rows = time.with_date_parts(fx.table(spark, sf, "events"), "ts").withColumnRenamed("event_type", SEGMENT)
     root = scratch_path(spark, "evolving")
     for column in ("value", "user_id"):
-        part = rows.select("event_id", column, *PARTITION_KEYS)
-        tables.write_partitioned(part, root, PARTITION_KEYS, mode="append")
+        tables.append_rows(rows.select("event_id", column, *HOUR_KEYS), root, PARTITION_KEYS)
     return tables.scan_partitioned(spark, root).select("event_id", "value", "user_id", *PARTITION_KEYS)
 
 
@@ -88,7 +87,7 @@ def scan_partitioned(spark, sf):
 def scan_pruned(spark, sf):
     rows = time.with_date_parts(fx.table(spark, sf, "events"), "ts").withColumnRenamed("event_type", SEGMENT)
     root = scratch_path(spark, "pruned")
-    tables.write_partitioned(rows.select("event_id", "value", *HOUR_KEYS), root, PARTITION_KEYS)
+    tables.append_rows(rows.select("event_id", "value", *HOUR_KEYS), root, PARTITION_KEYS)
     found = tables.scan_segment(spark, root, "view", {"month": 1, "day": [3, 9, 17, 26]})
     return found.select("event_id", "value", *HOUR_KEYS)
 
@@ -675,7 +674,7 @@ def chunked_equals_full(spark, sf):
         tables.write_window(spine.hourly_spine(segments, start, end), root, start, end)
 
     streaming.run_chunks(write, streaming.weekly_windows(*_event_hours(spark, sf)))
-    return spark.read.parquet(root).select(*HOUR_KEYS, "day_of_week")
+    return tables.scan_partitioned(spark, root).select(*HOUR_KEYS, "day_of_week")
 
 
 # ---- models --------------------------------------------------------------------------------------

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from segment_hours.config import MONTH_KEYS, PARTITION_KEYS
 from segment_hours.functions.time import as_range, ntz
-from segment_hours.session import cut_lineage
+from segment_hours.sources import files, versions
+from segment_hours.sources.files import path_exists
 
 _FORMATS = ("csv", "json", "parquet")
 _WRITE_MODES = ("append", "overwrite", "ignore")
@@ -26,20 +30,9 @@ def table_format(path):
     return found
 
 
-def path_exists(spark, path):
-    """Whether a path exists on whatever file system it names."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(str(path))
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def is_complete(spark, path):
     """Whether a table was written to its end: a single file, or a folder with the mark of a finished write."""
-    if not path_exists(spark, path):
-        return False
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(path))
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.getFileStatus(target).isFile() or path_exists(spark, f"{path}/_SUCCESS")
+    return path_exists(spark, path) and (files.is_file(spark, path) or path_exists(spark, f"{path}/_SUCCESS"))
 
 
 def read_table(spark, path, schema=None, **options):
@@ -71,12 +64,18 @@ def write_table(df, path, mode="overwrite", as_text=False, **options):
 def get_or_build(spark, path, build, schema=None):
     """Reads the table if it is there, else writes what ``build()`` returns and reads that.
 
-    What a failed write left behind is built again.
+    The table is written aside and renamed when it is whole, so a write that fails leaves nothing under ``path`` and is done again. A folder
+    without the mark of a finished write is not ours, and an error.
     """
-    if not is_complete(spark, path):
+    if not path_exists(spark, path):
         built = build()
         schema = schema or built.schema
-        write_table(built, path, mode="overwrite")
+        folder, _, name = str(path).rpartition("/")
+        aside = f"{folder}{'/' * bool(folder)}_building-{uuid.uuid4().hex}-{name}"
+        write_table(built, aside, mode="errorifexists")
+        files.move(spark, aside, path)
+    elif not is_complete(spark, path):
+        raise ValueError(f"{path} has no mark of a finished write; it is left as it is")
     return read_table(spark, path, schema)
 
 
@@ -103,28 +102,46 @@ def write_partitioned(
 
 
 def write_window(df, root, start, end, keys=tuple(MONTH_KEYS), **options):
-    """Writes the hours ``start`` to ``end`` of a feature table; hours outside stay as they are.
+    """Writes the hours ``start`` to ``end`` of a feature table; hours outside stay as they are. Returns the version number.
 
-    A window may cover part of a partition (a week of a month): the stored rows of its partitions that lie outside
-    the window are kept and written again with it. Only the months of the window are read for that.
+    The window is replaced as a whole: hours and segments without a new row have none afterwards. Windows need not fit
+    the partitions. The input runs once, nothing stored is read or written again, and nothing of the
+    write counts before its last step; a write that fails leaves the table as it was. See :mod:`segment_hours.sources.versions`.
     """
     spark = df.sparkSession
-    start, end = as_range(start, end)
+    versions.check_dates(df)
+    first, last = as_range(start, end)
     hour = F.make_timestamp_ntz("year", "month", "day", "hour", F.lit(0), F.lit(0))
-    inside = (hour >= ntz(start)) & (hour <= ntz(end))
-    rows = df.where(inside)
-    if path_exists(spark, root):
-        months = F.col("year") * 12 + F.col("month")
-        near = scan_partitioned(spark, root).where(
-            months.between(start.year * 12 + start.month, end.year * 12 + end.month) & ~inside
-        )
-        touched = rows.select(*keys).distinct()
-        rows = rows.unionByName(cut_lineage(near.join(touched, list(keys), "left_semi"), "outside"), allowMissingColumns=True)
-    write_partitioned(rows, root, keys, **options)
+    name, folder = versions.new_write(spark, root, df.schema, keys)
+    write_partitioned(df.where((hour >= ntz(first)) & (hour <= ntz(last))), folder, keys, mode="append", **options)
+    return versions.publish(spark, root, name, df.schema, keys, (start, end))
+
+
+def append_rows(df, root, keys=tuple(MONTH_KEYS), **options):
+    """Adds rows to a table of :func:`write_window`, also with new columns; they stay until a window replaces their hours."""
+    spark = df.sparkSession
+    name, folder = versions.new_write(spark, root, df.schema, keys)
+    write_partitioned(df, folder, keys, mode="append", **options)
+    return versions.publish(spark, root, name, df.schema, keys)
+
+
+def compact(spark, root, **options):
+    """Stores the rows of a table that count as one write; an error if another write is published meanwhile."""
+    version = versions.read_version(spark, root)
+    windows = [w["window"] for w in version["writes"]]
+    if len(windows) < 2 or None in windows:
+        raise ValueError("only a table of several windows can be compacted")
+    df = versions.scan_versions(spark, root, number=version["number"])
+    name, folder = versions.new_write(spark, root, df.schema, version["keys"])
+    write_partitioned(df, folder, version["keys"], mode="append", **options)
+    span = [dt.datetime(1970, 1, 1) + dt.timedelta(hours=h) for h in (min(w[0] for w in windows), max(w[1] for w in windows))]
+    return versions.publish(spark, root, name, df.schema, version["keys"], span, base=version["number"])
 
 
 def scan_partitioned(spark, root, merge=True):
-    """Partitioned table with the union of its files' columns."""
+    """Partitioned table with the union of its files' columns. A table of versions is read by its index, without footers."""
+    if versions.is_versioned(spark, root):
+        return versions.scan_versions(spark, root)
     return spark.read.option("mergeSchema", merge).parquet(str(root))
 
 
@@ -132,6 +149,8 @@ def scan_segment(spark, root, segment, time_filter=None):
     """One segment's partitions, optionally of some years, months or days."""
     from segment_hours.operators.frame import partition_filter
 
+    if versions.is_versioned(spark, root):
+        return versions.scan_versions(spark, root, segment, time_filter)
     return partition_filter(scan_partitioned(spark, root), segment, time_filter)
 
 
@@ -170,14 +189,23 @@ def read_year_tables(spark, root, table, form="csv", schema=None, years=None, fi
 def read_period_files(spark, root, form="csv", schema=None, calendar=None):
     """All ``delay_YYYYYY_Pnn.{form}`` files or folders with their season and period.
 
-    ``calendar`` (season, period) keeps the listed periods only.
+    ``calendar`` (season, period) keeps the listed periods only: no other file is listed or opened. It is fetched to name the files; a
+    year has 13 periods.
     """
-    df = _load_named(spark, f"{root}/delay_*.{form}", form, schema)
+    wanted = "delay_*"
+    if calendar is not None:
+        named = calendar.select("season", "period").dropna().distinct().collect()
+        there = set(files.names(spark, root))
+        found = sorted(n for n in {f"delay_{r[0]}_{r[1]}" for r in named} if f"{n}.{form}" in there)
+        wanted = "{" + ",".join(found) + "}"
+        if not found:
+            if schema is None:
+                raise FileNotFoundError(f"no period of the calendar under {root}, and no schema")
+            empty = spark.createDataFrame([], T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+            return empty.select(F.lit("").alias("season"), F.lit("").alias("period"), "*")
+    df = _load_named(spark, f"{root}/{wanted}.{form}", form, schema)
     path = F.col("_metadata.file_path")
     pattern = r"/delay_(\d{6})_([A-Z0-9]{3})\." + form + r"(?:/[^/]*)?$"
-    df = df.withColumns(
-        {"season": F.regexp_extract(path, pattern, 1), "period": F.regexp_extract(path, pattern, 2)}
-    ).where(F.col("season") != "")
-    if calendar is not None:
-        df = df.join(calendar.select("season", "period"), ["season", "period"], "left_semi")
-    return df
+    named = {"season": F.regexp_extract(path, pattern, 1), "period": F.regexp_extract(path, pattern, 2)}
+    rows = df.withColumns(named).where(F.col("season") != "")
+    return rows if calendar is None else rows.select("season", "period", *df.columns)

@@ -55,11 +55,20 @@ def test_damaged_period_larger_than_a_batch_gives_no_rows(spark, tmp_path):
     assert len(rows) == 1 and rows[0]["count"] >= 120_000
 
 
-def test_incomplete_table_is_built_again(spark, tmp_path):
+def test_table_of_a_failed_write_is_built_again(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    with pytest.raises(Exception, match="division|DIVIDE"):
+        tables.get_or_build(spark, path, lambda: spark.range(5).selectExpr("assert_true(id < 3, 'division') as x"))
+    assert tables.get_or_build(spark, path, lambda: spark.range(5)).count() == 5
+
+
+def test_table_of_another_tool_is_not_replaced(spark, tmp_path):
     path = tmp_path / "t.parquet"
     tables.write_table(spark.range(3), str(path))
     (path / "_SUCCESS").unlink()
-    assert tables.get_or_build(spark, str(path), lambda: spark.range(5)).count() == 5
+    with pytest.raises(ValueError, match="left as it is"):
+        tables.get_or_build(spark, str(path), lambda: spark.range(5))
+    assert spark.read.parquet(str(path)).count() == 3
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
