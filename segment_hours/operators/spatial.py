@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from segment_hours.config import MAX_DISTANCE_M, SEGMENT, SEGMENT_MILES
@@ -17,12 +18,21 @@ from segment_hours.functions.geo import (
 from segment_hours.functions.text import segment_id
 from segment_hours.session import cut_lineage
 
-# Search radius of each pass as a share of the widest one, and the radii on the unit sphere
-# (chords; 2 spans the globe).
+# Search radius of each pass as a share of the widest one.
 _LINE_LEVELS = (1 / 16, 1 / 4, 1.0)
 # A pass is left out where a straight piece of mean length would span more columns of its grid.
 _MAX_COLUMNS = 32
-_SPHERE_LEVELS = (2.0**-11, 2.0**-8, 2.0**-5, 2.0**-2, 2.0)
+# Cells of stations on the unit sphere: the first level has cells of width 1, each further one splits their edges. The last has
+# cells of less than a metre. A cell with so few stations is not split.
+_CUBE_SPLIT = 4
+_CUBE_LEVELS = 13
+_LEAF_STATIONS = 32
+# The search starts at the finest level with no more cells.
+_FIRST_CELLS = 128
+_BOUNDS = [f"{name}_{c}" for c in "xyz" for name in ("low", "high")]
+# Squared distances may be off by this share and amount, far above their rounding error.
+_SLACK = 1 + 1e-9
+_TINY = 1e-18
 # Covers are a little wider than the radius, so that rounding never loses a partner at its edge.
 _MARGIN = 1 + 1e-6
 
@@ -59,7 +69,7 @@ def _search(points, identity, radii, cells_of_points, cover, distance, found):
     """
     waiting, settled = points, []
     for radius in radii:
-        pairs = cells_of_points(waiting, radius).join(cover(radius), ["_cell", *_shared(identity)])
+        pairs = cells_of_points(waiting, radius).join(cover(radius), "_cell")
         best = pairs.groupBy(*identity).agg(found(distance).alias("_best"))
         best = cut_lineage(best.where(F.col("_best._d") <= radius), "nearest")
         settled.append((radius, best))
@@ -71,10 +81,6 @@ def _search(points, identity, radii, cells_of_points, cover, distance, found):
     return settled
 
 
-def _shared(identity):
-    return [c for c in identity if c == "year"]
-
-
 def _pieces(lines, geometry):
     """Straight pieces (x1, y1, x2, y2) of each distinct polyline, with the polyline's id."""
     last = F.greatest(F.size(geometry) - 1, F.lit(1))
@@ -179,47 +185,94 @@ def link_locations(
     return locations.join(named, [easting, northing]).select(SEGMENT, code, easting, northing)
 
 
-def nearest_stations(places, stations, years, place="loc_id", station="src_id"):
-    """Station nearest to each place in each year: place, year, station and distance in km.
+def _on_sphere(df):
+    vector = unit_vector(F.col("lat"), F.col("lon"))
+    return df.withColumn("_v", vector).withColumns({c: F.col("_v")[c] for c in "xyz"}).drop("_v", "lat", "lon")
+
+
+def _cube(level):
+    """Cell of a position in the grid of a level."""
+    return F.struct(*[_cell(F.col(c), 1 / _CUBE_SPLIT**level).alias(c) for c in "xyz"])
 
-    Both sides have lat and lon in degrees; stations have a year. The smallest id wins a tie.
+
+def station_index(sites, station="src_id", leaf=_LEAF_STATIONS):
+    """Occupied cells of all levels: (nodes, leaves). ``sites`` are (year, x, y, z, station), one a position.
+
+    A node (year, level, cell, n, bounds of its stations) has as parent the cell around it. A cell with at most ``leaf`` stations is
+    a leaf and has no finer ones, so places that are dense get as many levels as they need. ``leaves`` holds the stations by leaf.
     """
+    levels = F.array(*[F.struct(F.lit(i).alias("level"), _cube(i).alias("cell")) for i in range(_CUBE_LEVELS)])
+    listed = sites.select("year", "x", "y", "z", station, F.explode(levels).alias("_l")).select("*", "_l.level", "_l.cell").drop("_l")
+    bounds = [end(c).alias(f"{name}_{c}") for c in "xyz" for name, end in (("low", F.min), ("high", F.max))]
+    nodes = listed.groupBy("year", "level", "cell").agg(F.count("*").alias("n"), *bounds)
+    nodes = nodes.withColumn("leaf", (F.col("n") <= leaf) | (F.col("level") == _CUBE_LEVELS - 1))
+    over = F.transform(F.array(*[f"cell.{c}" for c in "xyz"]), lambda v: F.floor(v / _CUBE_SPLIT))
+    parent = F.struct(*[over[i].alias(c) for i, c in enumerate("xyz")])
+    nodes = cut_lineage(nodes.withColumn("parent", parent), "cells")
+    settled = listed.join(nodes.where("leaf").select("year", "level", "cell"), ["year", "level", "cell"])
+    first = F.min(F.struct("level", "cell")).alias("_at")
+    leaves = settled.groupBy("year", "x", "y", "z", station).agg(first).select("*", "_at.level", "_at.cell").drop("_at")
+    return nodes, leaves.withColumnsRenamed({c: f"s{c}" for c in "xyz"})
+
+
+def _first_level(nodes):
+    """The finest level that has few cells, the leaves above it included; the first one has at most 27 a year."""
+    counts = {r["level"]: r for r in nodes.groupBy("level").agg(F.count("*").alias("n"), F.count_if("leaf").alias("leaves")).collect()}
+    found, above = 0, 0
+    for level in sorted(counts):
+        if level and counts[level]["n"] + above > _FIRST_CELLS:
+            break
+        found, above = level, above + counts[level]["leaves"]
+    return found
 
-    def on_sphere(df):
-        vector = unit_vector(F.col("lat"), F.col("lon"))
-        return df.withColumn("_v", vector).withColumns({c: F.col("_v")[c] for c in "xyz"}).drop("_v", "lat", "lon")
 
-    spots = on_sphere(places.select(place, "lat", "lon").dropna().distinct())
-    spots = spots.withColumn("year", F.explode(F.array(*[F.lit(int(y)) for y in years])))
-    sites = stations.where(F.col("year").isin([int(y) for y in years])).groupBy("year", "lat", "lon")
-    sites = on_sphere(sites.agg(F.min(station).alias(station)).dropna())
-    sites = sites.withColumnsRenamed({c: f"s{c}" for c in "xyz"})
+def nearby_leaves(spots, nodes, key):
+    """(key, year, x, y, z, level, cell): leaves that may hold the station nearest to a spot (key, year, x, y, z).
 
-    def cells_of_points(df, radius):
-        return df.withColumn("_cell", F.struct(*[_cell(F.col(c), radius).alias(c) for c in "xyz"]))
+    Level by level, a spot keeps the cells that begin no further away than the cell that ends nearest, and goes on to the
+    cells within. Far stations are thus told apart by a few coarse cells, however many there are.
+    """
+    low = sum(F.pow(F.greatest(F.col(f"low_{c}") - F.col(c), F.col(c) - F.col(f"high_{c}"), F.lit(0.0)), 2) for c in "xyz")
+    high = sum(F.pow(F.greatest(F.col(c) - F.col(f"low_{c}"), F.col(f"high_{c}") - F.col(c)), 2) for c in "xyz")
+    spot = [*key, "year", "x", "y", "z"]
+    start = _first_level(nodes)
+    # A bounded table: a few cells, all of one level but for leaves above it.
+    top = nodes.where((F.col("level") == start) | (F.col("leaf") & (F.col("level") < start))).drop("parent", "n")
+    near = spots.select(*spot).join(F.broadcast(top), "year").withColumn("_top", F.lit(4.0) * _SLACK)
+    for level in range(start, _CUBE_LEVELS):
+        within = Window.partitionBy(*key, "year")
+        near = near.withColumns({"_low": F.coalesce("_low", low) if "_low" in near.columns else low, "_high": high})
+        near = near.withColumn("_top", F.least("_top", F.min("_high").over(within)))
+        near = near.where(F.col("_low") <= F.col("_top") * _SLACK + _TINY)
+        near = cut_lineage(near.select(*spot, "level", "cell", "leaf", "_low", "_top", *_BOUNDS), "near-cells")
+        inner = near.where(~F.col("leaf"))
+        if level == _CUBE_LEVELS - 1 or inner.isEmpty():
+            break
+        finer = nodes.where(F.col("level") == level + 1).withColumnRenamed("parent", "_parent")
+        own = inner.select(*spot, F.col("cell").alias("_parent"), "_top")
+        finer = own.join(finer, ["year", "_parent"]).drop("_parent", "n").withColumn("_low", F.lit(None).cast("double"))
+        near = near.where("leaf").select(*spot, "level", "cell", "leaf", "_low", "_top", *_BOUNDS).unionByName(finer)
+    return near.where("leaf").select(*spot, "level", "cell")
 
-    def cover(radius):
-        cut = sites
-        for c in "xyz":
-            at, reach = F.col(f"s{c}"), radius * _MARGIN
-            cut = cut.withColumn(f"_{c}", F.explode(F.sequence(_cell(at - reach, radius), _cell(at + reach, radius))))
-        cells = F.struct(*[F.col(f"_{c}").alias(c) for c in "xyz"])
-        return cut.withColumn("_cell", cells).drop("_x", "_y", "_z")
+
+def nearest_stations(places, stations, years, place="loc_id", station="src_id"):
+    """Station nearest to each place in each year: place, year, station and distance in km.
+
+    Both sides have lat and lon in degrees; stations have a year. The smallest id wins a tie. Rows without a place or position have no
+    station, nor has a place in a year without stations. Positions are compared in leaves of :func:`station_index` only.
+    """
+    spots = _on_sphere(places.select(place, "lat", "lon").dropna().distinct())
+    spots = spots.withColumn("year", F.explode(F.array(*[F.lit(int(y)) for y in years])))
+    sites = stations.where(F.col("year").isin([int(y) for y in years])).groupBy("year", "lat", "lon")
+    sites = _on_sphere(sites.agg(F.min(station).alias(station)).dropna())
+    nodes, leaves = station_index(sites, station)
+    near = nearby_leaves(spots, nodes, [place])
 
     def gap(c):
         return F.col(c) - F.col(f"s{c}")
 
     distance = F.sqrt(gap("x") * gap("x") + gap("y") * gap("y") + gap("z") * gap("z"))
-    settled = _search(
-        spots,
-        [place, "year"],
-        list(_SPHERE_LEVELS),
-        cells_of_points,
-        cover,
-        distance,
-        lambda d: F.min(F.struct(d.alias("_d"), F.col(station))),
-    )
-    best = functools.reduce(lambda a, b: a.unionByName(b), [rows for _, rows in settled])
+    best = near.join(leaves, ["year", "level", "cell"]).groupBy(place, "year").agg(F.min(F.struct(distance.alias("_d"), station)).alias("_best"))
     return best.select(
         place, "year", F.col("_best")[station].alias(station), chord_km(F.col("_best._d")).alias("distance_km")
     )

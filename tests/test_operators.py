@@ -308,6 +308,44 @@ def test_nearest_station_far_and_near(spark):
         assert got[name, 2023]["src_id"] == 98  # the smaller id of the two at one place
 
 
+def _pairs_with(spark, sites, places):
+    rows = spatial._on_sphere(spark.createDataFrame([(i, 2024, *p) for i, p in enumerate(sites)], "src_id long, year int, lat double, lon double"))
+    spots = spatial._on_sphere(spark.createDataFrame([(i, 2024, *p) for i, p in enumerate(places)], "loc_id long, year int, lat double, lon double"))
+    nodes, leaves = spatial.station_index(rows)
+    assert leaves.count() == len(sites)  # each station is in one leaf
+    return spatial.nearby_leaves(spots, nodes, ["loc_id"]).join(leaves, ["year", "level", "cell"]).count()
+
+
+@pytest.mark.parametrize("spread", [1e-3, 1.0, 20.0])
+def test_far_and_dense_stations_make_few_pairs(spark, spread):
+    """Places near, beside and on the far side of a dense cluster meet a few of its stations, not all."""
+    rng = random.Random(7)
+    sites = [(10 + rng.uniform(-spread, spread), 20 + rng.uniform(-spread, spread)) for _ in range(8_000)]
+    places = [(rng.uniform(-60, 60), rng.uniform(-179, 179)) for _ in range(40)] + [(10.0, 20.0 + spread * f) for f in (0, 1, 1.1, 2, 5)]
+    assert _pairs_with(spark, sites, places) < len(places) * 8_000 * 0.05
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], "loc_id long, lat double, lon double")
+    stations = spark.createDataFrame([(i, 2024, *p) for i, p in enumerate(sites)], "src_id long, year int, lat double, lon double")
+    got = {r["loc_id"]: r for r in spatial.nearest_stations(df, stations, [2024]).collect()}
+    for i, (lat, lon) in enumerate(places):
+        chord = [math.dist(_unit(lat, lon), _unit(*s)) for s in sites]
+        assert chord[got[i]["src_id"]] == pytest.approx(min(chord), rel=1e-9, abs=1e-15)
+
+
+def _unit(lat, lon):
+    lat, lon = math.radians(lat), math.radians(lon)
+    return math.cos(lat) * math.cos(lon), math.cos(lat) * math.sin(lon), math.sin(lat)
+
+
+def test_stations_at_one_point_and_none(spark):
+    """Equal positions are one; positions closer than the finest cell still give the nearest."""
+    sites = [(5, 2024, 1.0, 2.0), (3, 2024, 1.0, 2.0)] + [(10 + i, 2024, 1.0 + i * 1e-9, 2.0) for i in range(1, 60)]
+    stations = spark.createDataFrame(sites, "src_id long, year int, lat double, lon double")
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("b", 2.0, 2.0), ("c", None, 2.0), (None, 1.0, 2.0)], "loc_id string, lat double, lon double")
+    got = {(r["loc_id"], r["year"]): r["src_id"] for r in spatial.nearest_stations(df, stations, [2023, 2024]).collect()}
+    assert got == {("a", 2024): 3, ("b", 2024): 69}
+    assert spatial.nearest_stations(df, stations.limit(0), [2024]).count() == 0
+
+
 # ---- spine, frame and small steps ----------------------------------------------------------------
 
 
