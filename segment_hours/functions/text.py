@@ -62,15 +62,15 @@ def rotate_mask(mask):
 
 
 # Fixed pattern: season and business period in the name of a period archive.
-_PERIOD_NAME = r"(?i)(\d{4}(?:[-_ ]?\d{2})?|\d{2}[-_ ]\d{2})[-_ ]*P(\d{2})\.zip$"
+PERIOD_NAME = r"(?i)(\d{4}(?:[-_ ]?\d{2})?|\d{2}[-_ ]\d{2})[-_ ]*P(\d{2})\.zip$"
 
 
 def parse_period_name(name):
     """Struct (season, period) of an archive name; both null where the name does not match."""
-    season = F.regexp_replace(F.regexp_extract(name, _PERIOD_NAME, 1), "[-_ ]", "")
+    season = F.regexp_replace(F.regexp_extract(name, PERIOD_NAME, 1), "[-_ ]", "")
     season = F.when(F.length(season) < 6, F.concat(F.lit("20"), season)).otherwise(season)
-    period = F.concat(F.lit("P"), F.regexp_extract(name, _PERIOD_NAME, 2))
-    hit = name.rlike(_PERIOD_NAME)
+    period = F.concat(F.lit("P"), F.regexp_extract(name, PERIOD_NAME, 2))
+    hit = name.rlike(PERIOD_NAME)
     return F.struct(F.when(hit, season).alias("season"), F.when(hit, period).alias("period"))
 
 

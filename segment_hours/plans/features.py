@@ -17,11 +17,11 @@ from segment_hours.operators.spatial import centroids_wgs84, link_locations, nea
 from segment_hours.operators.spine import hourly_spine
 from segment_hours.operators.weather import raw_weather, weather_features
 from segment_hours.session import cut_lineage
+from segment_hours.sources.archives import read_delay_archives, unread
 from segment_hours.sources.feeds import (
     combine_station_maps,
-    delays_of_lines,
+    delays_of_archives,
     read_locations,
-    read_period_lines,
     read_timetable_lines,
 )
 from segment_hours.sources.tables import (
@@ -62,15 +62,19 @@ def build_hops(spark, root, start=None, end=None, **options):
     return schedule_hops(lines, **options)
 
 
-def build_delays(spark, root, out, periods=None, **options):
+def build_delays(spark, root, out, periods=None, unread_path=None, **options):
     """Writes the archived delay logs as a table partitioned by season and period.
 
-    ``periods`` (season, period) keeps the listed ones; options are those of ``normalise_delays``.
+    ``periods`` (season, period) opens the listed ones only; they are fetched, 13 a year. ``unread_path`` gets a table of the archives and members
+    that could not be read. Options are those of ``read_delay_archives``.
     """
-    lines = cut_lineage(read_period_lines(spark, root), "delays")
     if periods is not None:
-        lines = lines.join(periods.select("season", "period"), ["season", "period"], "left_semi")
-    table = delays_of_lines(lines, **options)
+        options["periods"] = [tuple(r) for r in periods.select("season", "period").dropna().distinct().collect()]
+    raw = read_delay_archives(spark, root, **options)
+    if unread_path is not None:
+        raw = cut_lineage(raw, "delays")  # unpacked once for both tables
+        unread(raw).write.mode("overwrite").parquet(unread_path)
+    table = delays_of_archives(raw)
     write_partitioned(table, out, ["season", "period"])
     return spark.read.schema(table.schema).parquet(out)
 

@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-import csv
 import io
-import zipfile
-import zlib
-from urllib.parse import quote
 
 import pandas as pd
-import pyarrow
-import pyarrow.fs
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segment_hours.functions.text import parse_period_name
 from segment_hours.functions.time import parse_dayfirst
-from segment_hours.operators.basics import rename_positional, swap_columns, union_tables
+from segment_hours.operators.basics import rename_positional, swap_columns
 from segment_hours.session import spread
+from segment_hours.sources.archives import DELAY_COLUMNS, DELAY_DATES, DELAY_KEPT, DELAY_SWAPPED, DELAY_VARIANTS, open_archive
 
 # Fixed format: fields of a location record.
 LOCATION_FIELDS = (
@@ -25,27 +19,6 @@ LOCATION_FIELDS = (
     "NORTHING", "TIMING_POINT_TYPE", "ZONE", "STANOX", "OFF_NETWORK", "LPB",
 )
 
-# Fixed format: the 37 columns of a delay log by position.
-DELAY_COLUMNS = (
-    "FINANCIAL_YEAR_PERIOD", "ORIGIN_DEPARTURE_DATE", "TRUST_TRAIN_ID", "PLANNED_ORIGIN_LOCATION_CODE",
-    "PLANNED_ORIGIN_WTT_DATETIME", "PLANNED_ORIGIN_GBTT_DATETIME", "PLANNED_DEST_LOCATION_CODE",
-    "PLANNED_DEST_WTT_DATETIME", "PLANNED_DEST_GBTT_DATETIME", "TRAIN_SERVICE_CODE", "SERVICE_GROUP_CODE",
-    "TOC_CODE", "ENGLISH_DAY_TYPE", "APPLICABLE_TIMETABLE_FLAG", "TRAIN_SCHEDULE_TYPE", "TRACTION_TYPE",
-    "TRAILING_LOAD", "TIMING_LOAD", "UNIT_CLASS", "INCIDENT_NUMBER", "INCIDENT_CREATE_DATE",
-    "INCIDENT_START_DATETIME", "INCIDENT_END_DATETIME", "SECTION_CODE", "NR_LOCATION_MANAGER",
-    "RESPONSIBLE_MANAGER", "INCIDENT_REASON", "ATTRIBUTION_STATUS", "INCIDENT_EQUIPMENT",
-    "INCIDENT_DESCRIPTION", "REACT_REASON", "INCIDENT_RESP_TRAIN", "EVENT_TYPE", "START_STANOX",
-    "END_STANOX", "EVENT_DATETIME", "PFPI_MINUTES",
-)
-DELAY_KEPT = (
-    "INCIDENT_START_DATETIME", "INCIDENT_NUMBER", "SECTION_CODE", "INCIDENT_REASON",
-    "PLANNED_ORIGIN_WTT_DATETIME", "EVENT_DATETIME", "EVENT_TYPE", "TRAIN_SERVICE_CODE", "REACT_REASON",
-    "START_STANOX", "END_STANOX", "PFPI_MINUTES",
-)
-DELAY_DATES = ("INCIDENT_START_DATETIME", "PLANNED_ORIGIN_WTT_DATETIME", "EVENT_DATETIME")
-_DELAY_VARIANTS = ("INCIDENT_RESPONSIBLE_TRAIN", "INCIDENT_RESP_TRAIN", "REACT_TRAIN")
-_DELAY_SWAPPED = ("PLANNED_ORIG_GBTT_DATETIME_AFF", "PLANNED_ORIG_WTT_DATETIME_AFF")
-
 _TIMETABLE_SUFFIXES = (".mca", ".cfa", ".cif")
 _ROWS_PER_BATCH = 50_000
 _MEMBER_STRIDE = 10**10
@@ -117,54 +90,28 @@ def normalise_delays(df, names=DELAY_COLUMNS, keep=DELAY_KEPT, dates=DELAY_DATES
     """
     log = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in carry], *carry)
     upper = [c.upper() for c in log.columns[: len(log.columns) - len(carry)]]
-    log = log.toDF(*upper, *carry).drop(*_DELAY_VARIANTS)
+    log = log.toDF(*upper, *carry).drop(*DELAY_VARIANTS)
     body = [c for c in log.columns if c not in carry][: len(names)]
-    log = swap_columns(log.select(*[F.col(f"`{c}`") for c in body], *carry), *_DELAY_SWAPPED)
+    log = swap_columns(log.select(*[F.col(f"`{c}`") for c in body], *carry), *DELAY_SWAPPED)
     named = rename_positional(log, [*names, *carry]).select(*carry, *keep)
     present = named.dropna(subset=list(dates))
     return present.withColumns({c: parse_dayfirst(F.col(c)) for c in dates})
 
 
-def _open_archive(path):
-    filesystem, inner = pyarrow.fs.FileSystem.from_uri(path)
-    return zipfile.ZipFile(filesystem.open_input_file(inner))
-
-
-def _uri(path):
-    """Spark's file path as a URI that names its file system."""
-    if path.startswith("file:/") and not path.startswith("file:///"):
-        path = "file://" + path[5:]
-    return quote(path, safe="/:@")
-
-
 def archive_members(spark, root, pattern="*.zip"):
     """(archive, name) of the zip files under ``root``, without reading them."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(str(root))
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
-# What opening a damaged or truncated archive raises.
-_CORRUPT = (zipfile.BadZipFile, pyarrow.ArrowInvalid, zlib.error)
-
-
-def _list_members(batches, wanted, nested):
-    """(path, name, member, rank) of the wanted members in name order.
-
-    ``nested`` keeps archives without any, to be read as they are, and skips corrupt ones.
-    """
+def _list_members(batches):
+    """(path, name, member, rank) of the timetable members in name order."""
     for batch in batches:
         rows = []
         for path, name in zip(batch["path"], batch["name"], strict=True):
-            try:
-                with _open_archive(_uri(path)) as archive:
-                    members = sorted(m for m in archive.namelist() if wanted(m.lower()))
-            except _CORRUPT:
-                if not nested:
-                    raise
-                continue
+            with open_archive(path) as archive:
+                members = sorted(m for m in archive.namelist() if m.lower().endswith(_TIMETABLE_SUFFIXES))
             rows.extend((path, name, member, rank) for rank, member in enumerate(members))
-            if nested and not members:
-                rows.append((path, name, None, 0))
         yield pd.DataFrame(rows, columns=["path", "name", "member", "rank"])
 
 
@@ -180,14 +127,6 @@ def _line_frames(stream, encoding):
         yield pd.DataFrame(rows, columns=["line_no", "line"])
 
 
-def _members(archives, suffixes, nested=False):
-    def list_all(batches):
-        return _list_members(batches, lambda member: member.endswith(suffixes), nested)
-
-    listed = spread(archives, "path").mapInPandas(list_all, "path string, name string, member string, rank long")
-    return spread(listed, "path", "member")
-
-
 def read_timetable_lines(spark, root, pattern="*.zip", encoding="latin-1", seasons=None):
     """Timetable lines in archive order: (archive, line_no, line).
 
@@ -202,69 +141,19 @@ def read_timetable_lines(spark, root, pattern="*.zip", encoding="latin-1", seaso
     def read_all(batches):
         for batch in batches:
             for row in batch.itertuples(index=False):
-                with _open_archive(_uri(row.path)) as archive, archive.open(row.member) as stream:
+                with open_archive(row.path) as archive, archive.open(row.member) as stream:
                     for lines in _line_frames(stream, encoding):
                         lines["line_no"] += row.rank * _MEMBER_STRIDE
                         lines.insert(0, "archive", row.name)
                         yield lines
 
-    todo = _members(archives, _TIMETABLE_SUFFIXES)
+    listed = spread(archives, "path").mapInPandas(_list_members, "path string, name string, member string, rank long")
+    todo = spread(listed, "path", "member")
     return todo.mapInPandas(read_all, "archive string, line_no long, line string")
 
 
-def read_period_lines(spark, root, pattern="*.zip", encoding="utf-8"):
-    """Lines of the first CSV of each archived period: (season, period, line_no, line).
-
-    An archive holds period archives or is one itself; each period is unpacked by a task of its own.
-    Corrupt archives and names that are not a period are skipped.
-    """
-
-    def first_csv(archive, name):
-        member = next((m for m in archive.namelist() if m.lower().endswith(".csv")), None)
-        if member is None:
-            return
-        # A period counts whole or not at all: damage shows at the end, so it is read once before a line is given out.
-        with archive.open(member) as stream:
-            while stream.read(1 << 20):
-                pass
-        with archive.open(member) as stream:
-            for lines in _line_frames(stream, encoding):
-                lines.insert(0, "name", name)
-                yield lines
-
-    def read_all(batches):
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                try:
-                    with _open_archive(_uri(row.path)) as outer:
-                        if row.member is None:
-                            yield from first_csv(outer, row.name)
-                            continue
-                        with outer.open(row.member) as packed, zipfile.ZipFile(packed) as inner:
-                            yield from first_csv(inner, row.member.rsplit("/", 1)[-1])
-                except _CORRUPT:
-                    continue
-
-    todo = _members(archive_members(spark, root, pattern), ".zip", nested=True)
-    lines = todo.mapInPandas(read_all, "name string, line_no long, line string")
-    parsed = lines.withColumn("_p", parse_period_name(F.col("name"))).where(F.col("_p.season").isNotNull())
-    return parsed.select("_p.season", "_p.period", "line_no", "line")
-
-
-def delays_of_lines(lines, **options):
-    """Normalised delay rows of period CSV lines, with season and period.
-
-    Layouts differ between years, so the distinct header lines (few) are fetched and the periods of
-    each layout are parsed with their own header.
-    """
-    headers = lines.where(F.col("line_no") == 0).select("season", "period", F.col("line").alias("header"))
-    tables = []
-    for (header,) in headers.select("header").distinct().orderBy("header").collect():
-        names = next(csv.reader([header.lstrip("\ufeff")]))
-        schema = ", ".join(f"`{name}` string" for name in names)
-        of_layout = headers.where(F.col("header") == header).select("season", "period")
-        rows = lines.where(F.col("line_no") > 0).join(of_layout, ["season", "period"])
-        parsed = rows.select("season", "period", F.from_csv("line", schema).alias("_row"))
-        body = normalise_delays(parsed.select("_row.*", "season", "period"), carry=("season", "period"), **options)
-        tables.append(body)
-    return union_tables(tables)
+def delays_of_archives(raw, dates=DELAY_DATES):
+    """Delay rows of :func:`segment_hours.sources.archives.read_delay_archives`, with season and period: rows without a date dropped, dates parsed."""
+    rows = raw.where(F.col("problem").isNull()).drop("archive", "member", "row", "problem")
+    present = rows.dropna(subset=list(dates))
+    return present.withColumns({c: parse_dayfirst(F.col(c)) for c in dates})

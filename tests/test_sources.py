@@ -228,9 +228,9 @@ def test_archived_delays(spark, tmp_path):
         archive.writestr("b.csv", second)
     names = [*feeds.DELAY_COLUMNS[:31], *feeds.DELAY_COLUMNS[32:], "SPARE"]
     assert len(names) == 37
-    lines = feeds.read_period_lines(spark, str(source))
-    assert {tuple(r) for r in lines.select("season", "period").distinct().collect()} == {("202425", "P01"), ("202425", "P02")}
-    table = build_delays(spark, str(source), f"{tmp_path}/out", names=names)
+    table = build_delays(spark, str(source), f"{tmp_path}/out", unread_path=f"{tmp_path}/unread", names=names)
+    skipped = {(r["archive"], r["member"], r["period"]): r["problem"] for r in spark.read.parquet(f"{tmp_path}/unread").collect()}
+    assert set(skipped) == {("202425.zip", "year/2024-25 P03.zip", "P03"), ("202425.zip", "year/notes.zip", None)}
     rows = table.orderBy("period").collect()
     assert [(r["season"], r["period"], r["EVENT_DATETIME"], r["SECTION_CODE"]) for r in rows] == [
         ("202425", "P01", stamps[0], "1:2, x"),
