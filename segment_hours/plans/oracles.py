@@ -456,6 +456,12 @@ SELECT ELR_MIL, date_trunc('hour', EVENT_DATETIME) AS ts, INCIDENT_REASON, count
     "glm_score": """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
   round(exp(-1.5 + 4.0 * l_discount - 2.0 * l_tax + 0.03 * l_quantity), 4) AS mean_count FROM lineitem""",
     "hash_split": """SELECT event_id, user_id, CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8))::BIGINT % 5 AS BIGINT) AS part FROM events""",
+    "rank_auc": """WITH r AS (SELECT event_type AS label, CAST(json_extract_string(props, '$.k') AS INT) % 7 = 0 AS hit, floor(value) AS score FROM events),
+ranked AS (SELECT label, hit, rank() OVER (PARTITION BY label ORDER BY score) + (count(*) OVER (PARTITION BY label, score) - 1) / 2.0 AS place
+  FROM r WHERE hit IS NOT NULL AND score IS NOT NULL),
+summed AS (SELECT label, count(*) FILTER (hit) AS positives, count(*) FILTER (NOT hit) AS negatives, sum(place) FILTER (hit) AS places
+  FROM ranked GROUP BY label)
+SELECT label, positives, negatives, round((places - positives * (positives + 1) / 2.0) / nullif(positives::DOUBLE * negatives, 0), 9) AS auc FROM summed""",
     # pipelines
     "weather_raw": f"""WITH {_RAW_WEATHER}
 SELECT {_KEYS}, round(min_air_temp, 4) AS min_air_temp, round(max_air_temp, 4) AS max_air_temp, round(prcp_amt, 4) AS prcp_amt,

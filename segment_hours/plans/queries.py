@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from segment_hours.config import DATE_KEYS, HOUR_KEYS, PARTITION_KEYS, SEGMENT, WEATHER_FLAGS, WEATHER_ROLLING, Rolling
 from segment_hours.functions import geo, text, time
-from segment_hours.operators import basics, frame, incidents, model, schedule, spatial, spine, weather
+from segment_hours.operators import basics, boosting, frame, incidents, model, schedule, spatial, spine, weather
 from segment_hours.operators.slices import SLICE, carry
 from segment_hours.plans import fixtures as fx
 from segment_hours.session import scratch_path
@@ -716,10 +716,18 @@ def hash_split(spark, sf):
 def gbt_auc(spark, sf):
     """AUC per incident reason over the hours with events, from the weather columns and the hour."""
     wide = modelling_frame(spark, sf).drop("day_of_week")
-    _, aucs = model.train_classifiers(wide, HOUR_KEYS, trees=3, depth=3)
+    _, aucs = model.train_boosted(wide, HOUR_KEYS)
     return _rounded(aucs, 6)
 
 
+@query
+def rank_auc(spark, sf):
+    """How well the whole part of an event's value tells its reason 0, by event type."""
+    events = fx.table(spark, sf, "events")
+    hit = (F.get_json_object("props", "$.k").cast("int") % 7 == 0).cast("int").alias("hit")
+    return _rounded(boosting.rank_auc(events.select(F.col("event_type").alias("label"), hit, F.floor("value").alias("score"))), 9)
+
+
 # ---- pipelines -----------------------------------------------------------------------------------
 
 
