@@ -15,6 +15,8 @@ WINDOW = 50
 ANCHOR = 8
 # Different runs behind one anchor up to which it is looked up as it is; with more it is refined to whole windows.
 RUNS_PER_ANCHOR = 200
+# Rows of which a task remembers that it has met them.
+REMEMBERED = 1_000_000
 # Words of a shard of reference runs: the size of an automaton.
 SHARD_WORDS = 100_000
 
@@ -75,8 +77,17 @@ def runs_of(words, window=WINDOW, anchor=ANCHOR):
 
 
 def _runs(window):
+    """Runs of the texts; of repeated rows that a task meets only the first counts, as the others have the same runs."""
+
     def run(batches):
+        seen = set()
         for part in text_blocks(batches):
+            rids = part.column("rid").to_pylist()
+            new = [i for i, r in enumerate(rids) if r not in seen and not seen.add(r)]
+            if len(new) < len(rids):
+                part = part.take(pa.array(new, pa.int64()))
+            if len(seen) > REMEMBERED:
+                seen.clear()
             text, first, anchor, runs, count = runs_of(Words(texts_of(part)), window)
             rows = pa.array(text)
             yield pa.RecordBatch.from_arrays(
@@ -240,8 +251,10 @@ def repeated_spans(docs, window=WINDOW, runs_per_anchor=RUNS_PER_ANCHOR, shard_w
     many = shared.where("runs > 1").select("anchor", "run", "least", "n", (F.col("runs") > runs_per_anchor).alias("refine"))
     place = runs.drop("n").join(many, ["anchor", "run"]).where("doc_id = least").groupBy("anchor", "run", "least", "refine", "n")
     place = place.agg(F.min(F.struct("rid", "start")).alias("p")).select("p.rid", F.struct("anchor", "run", "least", "refine", "n", "p.start").alias("w"))
-    wanted = place.groupBy("rid").agg(F.collect_list("w").alias("wanted"))  # bounded by the words of a document
-    texts = rows.select("rid", F.col("text").cast("binary").alias("text"))
+    wanted = place.groupBy("rid").agg(F.collect_set("w").alias("wanted"))  # bounded by the words of a document
+    # A repeated row is a reference once.
+    texts = rows.select("rid", F.col("text").cast("binary").alias("text")).join(wanted.select("rid"), "rid", "left_semi")
+    texts = texts.groupBy("rid").agg(F.any_value("text").alias("text"))
     cut = texts.join(wanted, "rid").mapInArrow(_cut_runs(window), "anchor long, run long, least long, key long, skip int, words array<long>")
     cut = stage(cut, "references")
     # Equal windows of refined anchors are one reference, under their least document. A run matches itself;
@@ -263,7 +276,7 @@ def repeated_spans(docs, window=WINDOW, runs_per_anchor=RUNS_PER_ANCHOR, shard_w
     found = stage(alone.unionByName(matched).unionByName(refined), "matches")
     marked = runs.join(found, ["anchor", "run"]).where("least < doc_id")
     span = F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last") + (window - 1)).alias("last"))
-    return marked.groupBy("rid").agg(F.collect_list(span).alias("spans"))  # bounded by the words of a document
+    return marked.groupBy("rid").agg(F.collect_set(span).alias("spans"))  # bounded by the words of a document
 
 
 def _kept(batches):
