@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from segment_hours.llm.common import fmix, text_blocks
@@ -179,35 +180,39 @@ class Model:
         return self.classes[best], float(p[best])
 
 
+def sample_of(known, each):
+    """(lang, r, text): of every language the ``each`` different texts with the smallest hashes ``r``, each once.
+
+    The hashes are made different before any limit, so copies neither fill the sample nor shrink it.
+    """
+    order = Window.partitionBy("lang").orderBy("r")
+    hashes = known.select("lang", "r").distinct()
+    # The limit by rank holds before the shuffle, too: a task hands on ``each`` hashes of a language at most.
+    chosen = hashes.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each).drop("rank")
+    return known.join(chosen, ["lang", "r"], "left_semi").groupBy("lang", "r").agg(F.min("text").alias("text"))
+
+
 def fit(docs, sample=SAMPLE):
     """Model from the rows of ``docs`` with a language: document frequencies over all, weights from ``sample`` of them.
 
-    The sample holds the texts with the smallest hashes, evenly per language as far as they reach.
-    The languages are collected: a fixed small set of labels.
+    The sample holds the different texts with the smallest hashes, evenly per language as far as they reach. The rows are read
+    three times, however many languages there are. The languages are collected: a fixed small set of labels.
     """
     known = docs.where("lang is not null").select(
         F.col("text"), F.col("lang"), F.pmod(F.xxhash64("text"), F.lit(1 << 40)).alias("r")
     )
     counts = known.select("text").mapInArrow(_document_counts, "bucket int, n long")
     counts = counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # BUCKETS rows at most
-    languages = known.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row per language
-    classes = sorted(r["lang"] for r in languages)
+    classes = sorted(r["lang"] for r in known.select("lang").distinct().collect())  # one row per language
     if not classes:
         return Model([], None, None)
     seen = np.zeros(BUCKETS + 1)
     for r in counts:
         seen[r["bucket"]] = r["n"]
     idf = np.log((1 + seen[-1]) / (1 + seen[:-1])) + 1
-    each = -(-sample // len(classes))
-    # A hash below the bound keeps about 1.2 * each of a language; the row limit then holds exactly.
-    share = {r["lang"]: min(1.0, 1.2 * each / r["n"]) for r in languages}
-    bound = F.create_map(*[F.lit(x) for k, v in share.items() for x in (k, int(v * (1 << 40)))])
-    near = known.where(F.col("r") <= bound[F.col("lang")])
-    parts = [near.where(F.col("lang") == c).orderBy("r", "text").limit(each) for c in classes]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.union(part)
-    found = rows.coalesce(1).mapInArrow(_fitter(idf, classes), "weights binary").collect()  # one row
+    rows = sample_of(known, -(-sample // len(classes)))
+    # At most ``sample`` texts and a row more a language, in an order that does not depend on the partitions.
+    found = rows.repartition(1).sortWithinPartitions("lang", "r").mapInArrow(_fitter(idf, classes), "weights binary").collect()  # one row
     if not found:
         return Model([], None, None)
     weights = np.frombuffer(found[0]["weights"], np.float32).reshape(BUCKETS + 1, len(classes))
