@@ -268,7 +268,9 @@ def near_groups(docs, width=SHINGLE, threshold=THRESHOLD, k=COORDINATES, least=M
     members = members.join(large, "g", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     members = members.withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")).drop("n_shingles")
     members = members.withColumn("root", F.col("cid"))
-    texts = rows.select("rid", F.col("text").cast("binary").alias("text"))
+    # A repeated row enters a family once.
+    texts = rows.select("rid", F.col("text").cast("binary").alias("text")).join(members.select("rid"), "rid", "left_semi")
+    texts = texts.groupBy("rid").agg(F.any_value("text").alias("text"))
     # The first member of a family is in all of its parts.
     everywhere = F.when(F.col("cid") == F.col("g"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
     cells = texts.join(members.withColumn("part", F.explode(everywhere)), "rid")
@@ -290,8 +292,19 @@ def near_groups(docs, width=SHINGLE, threshold=THRESHOLD, k=COORDINATES, least=M
 
 
 def drop_near_copies(docs, **options):
-    """The rows of ``docs`` that stay, with all their columns: one document of each group, empty ones all."""
+    """The rows of ``docs`` that stay, with all their columns: one document of each group, empty ones all.
+
+    The document with the least id stays; of repeated rows (equal id and text) one. Without an id a group of null ids
+    only keeps one row of each text. An empty table gives an empty result.
+    """
     groups = near_groups(docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    rid = fresh(docs, "_rid")
-    kept = groups.select(F.col("rid").alias(rid)).distinct()
-    return docs.withColumn(rid, F.xxhash64("doc_id", "text")).join(kept, rid, "left_semi").select(*docs.columns)
+    rid, copies, empty = fresh(docs, "_rid"), fresh(docs, "_copies"), fresh(docs, "_empty")
+    kept = groups.groupBy(F.col("rid").alias(rid)).agg(F.count("*").alias(copies), F.min(F.col("n_shingles") == 0).alias(empty))
+    kept = stage(kept, "kept")
+    rows = docs.withColumn(rid, F.xxhash64("doc_id", "text"))
+    repeated = (F.col(copies) > 1) & ~F.col(empty)
+    once = rows.join(kept.where(~repeated), rid, "left_semi").select(*docs.columns)
+    again = kept.where(repeated).select(rid)
+    if again.isEmpty():
+        return once
+    return once.unionByName(rows.join(again, rid, "left_semi").dropDuplicates([rid]).select(*docs.columns))
