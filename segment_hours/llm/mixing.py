@@ -72,15 +72,19 @@ def mix(docs, labels, weights=WEIGHTS, most=MOST_EPOCHS, rows_per_slice=ROWS_PER
         for value, weight in QUALITY.items():
             quality = F.when(F.col("quality") == value, F.lit(weight)).otherwise(quality)
     u = (F.pmod(F.xxhash64("rid", F.lit(seed)), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
-    keyed = rows.withColumn("key", -F.log(u) / quality).select("rid", "doc_id", "source", "size", "key")
+    keyed = rows.withColumn("quality", quality).select("rid", "doc_id", "source", "size", "quality", (-F.log(u) / F.col("quality")).alias("key"))
     keyed = stage(keyed, "sized")
-    sizes = keyed.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
+    classes = sorted({UNLABELLED, *QUALITY.values()})
+    alike = [F.count_if(F.col("quality") == w).alias(f"n_{i}") for i, w in enumerate(classes)]
+    sizes = keyed.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"), *alike)
     sources = stage(source_targets(sizes, weights, most), "sources")
     known = keyed.select("rid", "doc_id", F.col("source").alias("own"), "size", "key")
     joined = known.join(sources, F.col("own").eqNullSafe(F.col("source"))).drop("own")
     parts = F.ceil(F.col("n_rows") / rows_per_slice)
-    # 1 - exp(-key) rises with the key and lies in 0 to 1.
-    sliced = joined.withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * parts))
+    # The keys of weight w are exponential with rate w: their share below a key, summed over the weights, is even over the rows of
+    # the source and rises with the key, so slices are of about one size whatever the weights.
+    share = sum(F.col(f"n_{i}") * (1 - F.exp(-F.col("key") * w)) for i, w in enumerate(classes)) / F.col("n_rows")
+    sliced = joined.withColumn("slice", F.floor(share * parts)).drop(*[f"n_{i}" for i in range(len(classes))])
     totals = sliced.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select(
