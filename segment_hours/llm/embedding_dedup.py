@@ -143,13 +143,16 @@ def _roots(n, pairs):
 
 
 def _compare(threshold, options):
+    lattices = {}  # a task makes one a dimension, for all of its cells
+
     def run(table):
         t, part = table.column("t")[0].as_py(), table.column("part")[0].as_py()
         base, home = table.column("base").to_numpy(), table.column("home").to_numpy()
         ids, weights = table.column("cid").to_numpy(), table.column("n").to_numpy()
         vectors = table.column("vector").to_pylist()
         units = _unit(vectors)
-        lattice = Lattice(len(vectors[0]), **options)
+        size = len(vectors[0])
+        lattice = lattices.get(size) or lattices.setdefault(size, Lattice(size, **options))
         own, visitors = np.flatnonzero(base), np.flatnonzero(~base)
         kept = [np.zeros((0, 2), np.int64)]
         for rows in (own if part == 0 else own[:0], visitors):
