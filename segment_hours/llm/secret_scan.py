@@ -26,7 +26,7 @@ class Rule(NamedTuple):
 
 
 BASE = (
-    Rule("assign", 1, r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    Rule("assign", 1, r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 18),
     # The same spans as [0-9a-f]+ of 16 characters or more: runs are maximal.
     Rule("hex", 1, r"(?<![0-9a-f])[0-9a-f]{16,}"),
@@ -39,6 +39,9 @@ MORE = (
 )
 RULES = BASE + MORE
 
+# Blobs of which a task remembers that it has scanned them.
+REMEMBERED = 500_000
+
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 _FOUND = "blob binary, rules array<string>, spans array<struct<kind: string, start: int, end: int>>"
 
@@ -57,8 +60,16 @@ def _scanner(rules):
     compiled = {r.key: (r, re.compile(r.pattern)) for r in rules}
 
     def run(batches):
+        met = set()
         for batch in batches:
             for part in text_blocks([batch]):
+                # Of repeated rows that a task meets the first is scanned.
+                blobs = part.column("blob").to_pylist()
+                new = [i for i, b in enumerate(blobs) if b not in met and not met.add(b)]
+                if len(new) < len(blobs):
+                    part = part.take(pa.array(new, pa.int64()))
+                if len(met) > REMEMBERED:
+                    met.clear()
                 texts, todo = part.column("text").to_pylist(), part.column("todo").to_pylist()
                 spans = [spans_of(t, [compiled[k] for k in keys]) for t, keys in zip(texts, todo, strict=True)]
                 rows = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in own] for own in spans]
@@ -101,6 +112,7 @@ def scan_new(docs, ledger, rules=RULES):
     text = F.coalesce(F.col("text"), F.lit(""))
     contents = docs.select(F.xxhash64("doc_id", "text").alias("rid"), text.alias("text"))
     found = contents.join(unseen, "rid").mapInArrow(_scanner(rules), _FOUND)
+    found = found.dropDuplicates(["blob"])  # of repeated rows in several tasks
     found.write.mode("append").parquet(ledger)
 
 

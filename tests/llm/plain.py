@@ -52,7 +52,7 @@ def op1(docs,w=50):
     return out
 def op10(t):
     t=t or ''; sp=[]
-    for m in re.finditer(r'''((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)''',t):
+    for m in re.finditer(r'''((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)''',t):
         if len(m[2])>=12: sp.append((m.start(),0,m.end(),'assign'))
     for m in re.finditer('AKIA[A-Z0-9]+',t):
         if len(m[0])>=18: sp.append((m.start(),1,m.end(),'access'))
