@@ -51,21 +51,34 @@ def hourly_events(spark, sf):
     )
 
 
-def observations(spark, sf):
-    """Station tables: user_id % 15 is the station, each event type a table."""
-    rows = table(spark, sf, "events").select(
-        (F.col("user_id") % 15).alias("src_id"), F.col("ts").alias("meto_stmp_time"), "event_type", "value"
+# The station table of each event type; all other types are gusts.
+STATION_TABLES = {"view": "TD", "click": "RH", "purchase": "WH"}
+
+
+def all_observations(spark, sf):
+    """Every event as an observation (_table, src_id, meto_stmp_time, value): user_id % 15 is the station."""
+    name = F.lit("WM")
+    for kind, of in STATION_TABLES.items():
+        name = F.when(F.col("event_type") == kind, of).otherwise(name)
+    return table(spark, sf, "events").select(
+        name.alias("_table"), (F.col("user_id") % 15).alias("src_id"), F.col("ts").alias("meto_stmp_time"), "event_type", "value"
     )
 
-    def of(kind, **values):
-        picked = rows.where(F.col("event_type") == kind)
+
+def observations(spark, sf):
+    """Station tables of all events; sign-ups are gust speeds and errors gust directions."""
+    rows = all_observations(spark, sf)
+
+    def of(name, **values):
+        picked = rows.where(F.col("_table") == name)
         return picked.select("src_id", "meto_stmp_time", *[v.alias(c) for c, v in values.items()])
 
-    value = F.col("value")
+    value, kind = F.col("value"), F.col("event_type")
     return {
-        "TD": of("view", min_air_temp=value - 50, max_air_temp=value + 50),
-        "RH": of("click", prcp_amt=value),
-        "WH": of("purchase", snow_depth=value),
+        "TD": of("TD", min_air_temp=value - 50, max_air_temp=value + 50),
+        "RH": of("RH", prcp_amt=value),
+        "WH": of("WH", snow_depth=value),
+        "WM": of("WM", max_gust_speed=F.when(kind == "signup", value), max_gust_dir=F.when(kind == "error", value)),
     }
 
 
@@ -76,6 +89,7 @@ def station_map(spark, sf):
         (key % 15).alias("src_id_TD"),
         ((key + 7) % 15).alias("src_id_RH"),
         ((key + 3) % 15).alias("src_id_WH"),
+        ((key + 11) % 15).alias("src_id_WM"),
         F.lit("2024").alias("year"),
     )
 

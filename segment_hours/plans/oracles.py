@@ -83,13 +83,13 @@ def _rounded_hour(ts):
            ELSE INTERVAL 0 HOUR END"""
 
 
-def _filled(name, kind, values):
-    """Station hours of one event type, each with the last observation at or before it."""
+def _filled(name, kinds, values):
+    """Station hours of some event types, each with the last observation at or before it."""
     columns = ", ".join(f"{v} AS {c}" for c, v in values.items())
     names = ", ".join(values)
     return f"""{name}_obs AS (
   SELECT * FROM (
-    SELECT user_id % 15 AS src_id, {_rounded_hour('ts')} AS rh, ts, {columns} FROM events WHERE event_type = '{kind}')
+    SELECT user_id % 15 AS src_id, {_rounded_hour('ts')} AS rh, ts, {columns} FROM events WHERE event_type {kinds})
   QUALIFY row_number() OVER (PARTITION BY src_id, rh ORDER BY ts DESC) = 1),
 {name}_hours AS (
   SELECT src_id, unnest(generate_series(min(rh), max(rh), INTERVAL 1 HOUR)) AS meto_stmp_time
@@ -99,9 +99,24 @@ def _filled(name, kind, values):
   ON h.src_id = o.src_id AND h.meto_stmp_time >= o.rh)"""
 
 
-_TD = _filled("td", "view", {"min_air_temp": "value - 50", "max_air_temp": "value + 50"})
-_RH = _filled("rh", "click", {"prcp_amt": "value"})
-_WH = _filled("wh", "purchase", {"snow_depth": "value"})
+_TD = _filled("td", "= 'view'", {"min_air_temp": "value - 50", "max_air_temp": "value + 50"})
+_RH = _filled("rh", "= 'click'", {"prcp_amt": "value"})
+_WH = _filled("wh", "= 'purchase'", {"snow_depth": "value"})
+_GUSTS = {k: f"CASE WHEN event_type = '{e}' THEN value END" for k, e in (("max_gust_speed", "signup"), ("max_gust_dir", "error"))}
+_WM = _filled("wm", "NOT IN ('view', 'click', 'purchase')", _GUSTS)
+
+# All station tables at once, by the table's name.
+_STATIONS = f"""obs AS (
+  SELECT * FROM (
+    SELECT CASE event_type WHEN 'view' THEN 'TD' WHEN 'click' THEN 'RH' WHEN 'purchase' THEN 'WH' ELSE 'WM' END AS station_table,
+           user_id % 15 AS src_id, {_rounded_hour('ts')} AS rh, ts, value FROM events)
+  QUALIFY row_number() OVER (PARTITION BY station_table, src_id, rh ORDER BY ts DESC, value DESC) = 1),
+hours AS (
+  SELECT station_table, src_id, unnest(generate_series(min(rh), max(rh), INTERVAL 1 HOUR)) AS meto_stmp_time
+  FROM obs GROUP BY station_table, src_id),
+filled AS (
+  SELECT h.station_table, h.src_id, h.meto_stmp_time, round(value, 4) AS value FROM hours h ASOF JOIN obs o
+  ON h.station_table = o.station_table AND h.src_id = o.src_id AND h.meto_stmp_time >= o.rh)"""
 
 
 def _located(name, shift, values):
@@ -110,11 +125,12 @@ def _located(name, shift, values):
   FROM {name}_filled JOIN nation ON src_id = (n_nationkey + {shift}) % 15 WHERE year(meto_stmp_time) = 2024)"""
 
 
-_RAW_WEATHER = f"""{_TD}, {_RH}, {_WH},
+_RAW_WEATHER = f"""{_TD}, {_RH}, {_WH}, {_WM},
 {_located('td', 0, 'min_air_temp, max_air_temp')}, {_located('rh', 7, 'prcp_amt')}, {_located('wh', 3, 'snow_depth')},
+{_located('wm', 11, 'max_gust_speed, max_gust_dir')},
 raw AS (
-  SELECT {_KEYS}, min_air_temp, max_air_temp, prcp_amt, snow_depth
-  FROM td FULL JOIN rh USING ({_KEYS}) FULL JOIN wh USING ({_KEYS}))"""
+  SELECT {_KEYS}, min_air_temp, max_air_temp, prcp_amt, snow_depth, max_gust_speed, max_gust_dir
+  FROM td FULL JOIN rh USING ({_KEYS}) FULL JOIN wh USING ({_KEYS}) FULL JOIN wm USING ({_KEYS}))"""
 
 
 def _backfilled(column):
@@ -321,8 +337,10 @@ FROM validity WHERE end_date >= DATE '1997-03-01' AND start_date <= DATE '1998-0
   round(l_quantity / l_discount, 4) AS share FROM lineitem WHERE l_tax <> 0 AND l_discount <> 0""",
     "split_xy": f"WITH {_EVENTS}, {_LOG} {_pivot('log')}",
     # joins
-    "join_station_fanout": f"""WITH {_TD}, {_located('td', 0, 'min_air_temp, max_air_temp')}
-SELECT {_KEYS}, round(min_air_temp, 4) AS min_air_temp, round(max_air_temp, 4) AS max_air_temp FROM td""",
+    "join_station_fanout": f"""WITH {_STATIONS}
+SELECT CAST(n_nationkey AS VARCHAR) AS ELR_MIL, {_parts('meto_stmp_time')}, station_table, value
+FROM filled JOIN nation ON src_id = (n_nationkey + CASE station_table WHEN 'TD' THEN 0 WHEN 'RH' THEN 7 WHEN 'WH' THEN 3 ELSE 11 END) % 15
+WHERE year(meto_stmp_time) = 2024""",
     "join_outer_tables": f"""WITH {_EVENTS}, keyed AS (SELECT *, CAST(user_id // 8 AS BIGINT) AS segment FROM ev)
 SELECT segment, year, month, day, hour, """
     + ", ".join(f"max(value) FILTER (event_type = '{k}') AS {k}" for k in ("view", "click", "purchase", "signup", "error"))
@@ -347,8 +365,7 @@ d AS (SELECT loc_id, year, src_id, 2 * 6371.0088 * asin(sqrt(sin(radians(s.lat -
 SELECT loc_id, year, src_id, round(km, 3) AS distance_km FROM d
 QUALIFY row_number() OVER (PARTITION BY loc_id, year ORDER BY km, src_id) = 1""",
     "hourly_spine": f"WITH {_EVENTS}, {_spine(6)} SELECT * FROM spine",
-    "asof_hourly_fill": f"""WITH {_TD}
-SELECT meto_stmp_time, src_id, round(min_air_temp, 4) AS min_air_temp, round(max_air_temp, 4) AS max_air_temp FROM td_filled""",
+    "asof_hourly_fill": f"WITH {_STATIONS} SELECT station_table, src_id, meto_stmp_time, value FROM filled",
     "missing_partitions": f"""WITH {_CALENDAR},
 buckets AS (SELECT DISTINCT CAST(o_custkey // 16 AS BIGINT) AS bucket FROM orders)
 SELECT bucket, season || '_' || period AS code FROM buckets, calendar c
@@ -465,11 +482,11 @@ SELECT label, positives, negatives, round((places - positives * (positives + 1)
     # pipelines
     "weather_raw": f"""WITH {_RAW_WEATHER}
 SELECT {_KEYS}, round(min_air_temp, 4) AS min_air_temp, round(max_air_temp, 4) AS max_air_temp, round(prcp_amt, 4) AS prcp_amt,
-  round(snow_depth, 4) AS snow_depth FROM raw""",
+  round(snow_depth, 4) AS snow_depth, round(max_gust_speed, 4) AS max_gust_speed, round(max_gust_dir, 4) AS max_gust_dir FROM raw""",
     "weather_features": f"""WITH {_RAW_WEATHER},
 timed AS (SELECT *, make_timestamp(year, month, day, hour, 0, 0) AS ts FROM raw),
-rolled AS (SELECT {_KEYS}, ts, {_weather_columns()}, {_FLAG_COLUMNS} FROM timed),
-filled AS (SELECT {_KEYS}, ts, {', '.join(_backfilled(c) for c in (*_WEATHER_NAMES, *_FLAG_NAMES))} FROM rolled)
+rolled AS (SELECT {_KEYS}, ts, {', '.join(f'round({c}, 4) AS {c}' for c in _GUSTS)}, {_weather_columns()}, {_FLAG_COLUMNS} FROM timed),
+filled AS (SELECT {_KEYS}, ts, {', '.join(_GUSTS)}, {', '.join(_backfilled(c) for c in (*_WEATHER_NAMES, *_FLAG_NAMES))} FROM rolled)
 SELECT * EXCLUDE (ts) FROM filled WHERE ts {_MIDDLE}""",
     "incident_dataset": f"""WITH {_EVENTS}, {_LOG}, {_CALENDAR},
 placed AS (SELECT log.* EXCLUDE (ELR_MIL), season, period, {_SUPPLIER_MAP} AS ELR_MIL

@@ -244,13 +244,14 @@ def split_xy(spark, sf):
 
 
 def _station_hours(spark, sf):
-    return weather.hourly_fill(fx.observations(spark, sf)["TD"], "meto_stmp_time", ["src_id"])
+    """Hours of the stations of all tables, each with the last value at or before it."""
+    return weather.hourly_fill(fx.all_observations(spark, sf).drop("event_type"), "meto_stmp_time", ["_table", "src_id"])
 
 
 @query
 def join_station_fanout(spark, sf):
-    links = weather.station_links(fx.station_map(spark, sf), ["TD"]).drop("_table")
-    return _rounded(weather.to_segments(_station_hours(spark, sf), links, "meto_stmp_time", ["src_id"]))
+    links = weather.station_links(fx.station_map(spark, sf), ["TD", "RH", "WH", "WM"]).withColumn("station_table", F.col("_table"))
+    return _rounded(weather.to_segments(_station_hours(spark, sf), links, "meto_stmp_time", ["_table", "src_id"]))
 
 
 @query
@@ -297,7 +298,7 @@ def hourly_spine(spark, sf):
 
 @query
 def asof_hourly_fill(spark, sf):
-    return _rounded(_station_hours(spark, sf))
+    return _rounded(_station_hours(spark, sf).withColumnRenamed("_table", "station_table"))
 
 
 @query
