@@ -201,3 +201,16 @@ def cyclic_features(ts):
         "cos_hod": F.cos(day_angle),
         "day_of_week": (F.dayofweek(ts) - 1).cast("bigint"),
     }
+
+
+def utc_ntz(column):
+    """Zone-free UTC time of a stamp: an offset in the text is applied, text without one is taken as it is, bad text is null.
+
+    Independent of the session time zone.
+    """
+    text = F.trim(column.cast("string"))
+    zoned = text.rlike(r"\d:\d{2}.*?(Z|[+-]\d{1,2}(:?\d{2})?)$")
+    instant = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp")
+    seconds = F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    moved = ntz(dt.datetime(1970, 1, 1)) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    return F.when(zoned, moved).otherwise(text.try_cast("timestamp_ntz"))

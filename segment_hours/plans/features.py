@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from segment_hours.config import HOUR_KEYS, MONTH_KEYS, WEATHER_FLAGS, WEATHER_ROLLING
 from segment_hours.functions.text import hhmm
-from segment_hours.functions.time import as_range, ntz, period_calendar, timetable_seasons, yymmdd
+from segment_hours.functions.time import as_range, ntz, period_calendar, timetable_seasons, utc_ntz, yymmdd
 from segment_hours.operators.basics import segments, time_range, valid_locations
 from segment_hours.operators.frame import modelling_frame
 from segment_hours.operators.incidents import incident_counts
@@ -93,7 +93,7 @@ def build_weather(
     loaded = {}
     for name, schema in tables.items():
         table = read_year_tables(spark, root, name, form, schema, years=((first - day).year, (end + day).year))
-        typed = table.withColumn("meto_stmp_time", F.col("meto_stmp_time").cast("timestamp_ntz"))
+        typed = table.withColumn("meto_stmp_time", utc_ntz(F.col("meto_stmp_time")))
         loaded[name] = time_range(typed.drop("file_year"), "meto_stmp_time", first, end, buffer=day)
     raw = raw_weather(loaded, station_map, bounds=(ntz(first), ntz(end)))
     return weather_features(raw, rolling, flags, bounds=(ntz(start), ntz(end)))

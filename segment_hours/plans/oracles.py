@@ -459,6 +459,10 @@ SELECT o_orderkey, season FROM orders JOIN s ON CAST(o_orderdate AS DATE) BETWEE
     # incremental
     "stream_incident_counts": f"""WITH {_EVENTS}, {_LOG}
 SELECT ELR_MIL, date_trunc('hour', EVENT_DATETIME) AS ts, INCIDENT_REASON, count(*) AS n FROM log GROUP BY ALL""",
+    "stream_incident_parts": f"""WITH {_EVENTS}, {_LOG}
+SELECT ELR_MIL, date_trunc('hour', EVENT_DATETIME) AS ts, INCIDENT_REASON, count(*) AS n FROM log GROUP BY ALL""",
+    "utc_stamps": """SELECT event_id, CASE event_id % 6 WHEN 2 THEN t - INTERVAL 1 HOUR WHEN 3 THEN t + INTERVAL 330 MINUTE
+  WHEN 4 THEN t - INTERVAL 2 HOUR WHEN 5 THEN NULL ELSE t END AS utc FROM (SELECT event_id, date_trunc('second', ts) AS t FROM events)""",
     "chunked_equals_full": f"WITH {_EVENTS}, {_spine(6)} SELECT {_KEYS}, day_of_week FROM spine",
     # models
     "one_hot_drop_first": "SELECT o_orderkey, "

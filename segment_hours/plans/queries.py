@@ -665,6 +665,31 @@ def stream_incident_counts(spark, sf):
     return streaming.latest_counts(spark, f"{root}/counts")
 
 
+@query
+def stream_incident_parts(spark, sf):
+    """Counts of the stored events by a stream that keeps no state."""
+    stored = fx.table(spark, sf, "events")
+    stream = spark.readStream.schema(stored.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    k = F.get_json_object("props", "$.k").cast("int")
+    log = stream.select(
+        text.segment_id(F.col("event_type"), F.col("user_id")).alias(SEGMENT),
+        F.col("ts").alias("EVENT_DATETIME"),
+        F.concat(F.lit("R"), (k % 7).cast("string")).alias("INCIDENT_REASON"),
+    )
+    root = scratch_path(spark, "parts")
+    streaming.stream_incident_parts(log, f"{root}/counts", f"{root}/state").awaitTermination()
+    return streaming.summed_counts(spark, f"{root}/counts")
+
+
+@query
+def utc_stamps(spark, sf):
+    """Event times as text with all kinds of offsets, back in UTC."""
+    rows = fx.table(spark, sf, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("plain"))
+    offsets = F.array(*[F.lit(o) for o in ("", "Z", "+01:00", "-0530", " +02", "?")])
+    stamp = F.concat("plain", F.element_at(offsets, (F.col("event_id") % 6 + 1).cast("int")))
+    return rows.select("event_id", time.utc_ntz(stamp).alias("utc"))
+
+
 @query
 def chunked_equals_full(spark, sf):
     """Spine written a week at a time into months; the table is the same as from one run over the whole range."""
