@@ -131,8 +131,50 @@ def _vector_codes_sql(parts=16, entries=64, rounds=2):
         FROM r JOIN v USING (vec_id) CROSS JOIN k"""
 
 
-# Fixed values of the contract: runs of white space.
 ORACLES = {
+    # Fixed values of the contract: words without white space.
+    "op1_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             g AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS pos,
+                          unnest(list_transform(range(1, len(w) - 48), lambda x: array_to_string(w[x : x + 49], ' '))) AS phrase
+                   FROM d WHERE len(w) >= 50),
+             f AS (SELECT phrase, min(doc_id) AS least FROM g GROUP BY phrase),
+             c AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS pos FROM g JOIN f USING (phrase) WHERE least < doc_id),
+             t AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM d),
+             k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS kept FROM t ANTI JOIN c USING (doc_id, pos) GROUP BY doc_id)
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)""",
+    # Fixed values of the contract: words without white space, shingles of two, 80 in 100.
+    "op6_minhash_dedup": r"""
+        WITH RECURSIVE
+             d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x20\x09-\x0D]+') AS w FROM documents),
+             s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 2 THEN w
+                          ELSE list_transform(range(1, len(w)), lambda x: w[x] || ' ' || w[x + 1]) END)) AS own FROM d),
+             c AS (SELECT own, min(doc_id) AS class, len(own) AS n FROM s WHERE len(own) > 0 GROUP BY own),
+             e AS (SELECT class, n, unnest(own) AS shingle FROM c),
+             l AS (SELECT a.class AS a, b.class AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.class < b.class
+                   AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+                   GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+             m AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+             r AS (SELECT class AS a, class AS b FROM c UNION SELECT r.a, m.b FROM r JOIN m ON r.b = m.a),
+             g AS (SELECT a AS class, min(b) AS least FROM r GROUP BY a)
+        SELECT s.doc_id, len(s.own)::BIGINT AS n_shingles, coalesce(least, s.doc_id) AS component_id, coalesce(least, s.doc_id) = s.doc_id AS kept
+        FROM s LEFT JOIN c ON s.own = c.own LEFT JOIN g USING (class)""",
+    # Fixed values of the contract: cosine 0.93 within a label.
+    "op9_embedding_dedup": """
+        WITH RECURSIVE
+             v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_count(list_filter(embedding, lambda c: isfinite(c))) = len(embedding)
+                     AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+             m AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+                   ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.93),
+             n AS (SELECT a AS vec_id, count(*) AS n_links FROM m GROUP BY a),
+             r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, m.b FROM r JOIN m ON r.b = m.a),
+             g AS (SELECT a AS vec_id, min(b) AS least FROM r GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(least, vec_id) AS component_id, coalesce(least, vec_id) = vec_id AS kept
+        FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN g USING (vec_id)""",
+    # Fixed values of the contract: runs of white space.
     "op3_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
