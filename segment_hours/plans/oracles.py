@@ -268,7 +268,7 @@ _TIMETABLE = f"""WITH {_VALIDITY}, stops AS (
 paired AS (
   SELECT s.*, (SELECT max(p.pos) FROM stops p WHERE p.l_orderkey = s.l_orderkey AND p.pos < s.pos AND p.dep IS NOT NULL) AS before
   FROM stops s WHERE arr IS NOT NULL)
-SELECT lpad(CAST(s.l_orderkey AS VARCHAR), 6, '0') AS train_id, CAST(p.stanox AS VARCHAR) AS stanox_dep, CAST(s.stanox AS VARCHAR) AS stanox_arr,
+SELECT lpad(CAST(s.l_orderkey AS VARCHAR), greatest(6, length(CAST(s.l_orderkey AS VARCHAR)))::INT, '0') AS train_id, CAST(p.stanox AS VARCHAR) AS stanox_dep, CAST(s.stanox AS VARCHAR) AS stanox_arr,
        CASE WHEN s.dep < p.dep THEN right(daysofweek, 1) || left(daysofweek, 6) ELSE daysofweek END AS daysofweek, p.dep AS dep_time,
        strftime(start_date, '%y%m%d') AS start_date, strftime(end_date, '%y%m%d') AS end_date
 FROM paired s JOIN stops p ON p.l_orderkey = s.l_orderkey AND p.pos = s.before JOIN validity ON o_orderkey = s.l_orderkey"""
@@ -465,6 +465,15 @@ SELECT ELR_MIL, date_trunc('hour', EVENT_DATETIME) AS ts, INCIDENT_REASON, count
   WHEN 4 THEN t - INTERVAL 2 HOUR WHEN 5 THEN NULL ELSE t END AS utc FROM (SELECT event_id, date_trunc('second', ts) AS t FROM events)""",
     "chunked_equals_full": f"WITH {_EVENTS}, {_spine(6)} SELECT {_KEYS}, day_of_week FROM spine",
     # models
+    "encode_levels": """WITH l AS (SELECT DISTINCT 'priority' AS c, o_orderpriority AS v FROM orders
+  UNION ALL SELECT DISTINCT 'status', o_orderstatus FROM orders UNION ALL SELECT DISTINCT 'customer', CAST(o_custkey AS VARCHAR) FROM orders),
+k AS (SELECT c, v FROM l WHERE v IS NOT NULL QUALIFY row_number() OVER (PARTITION BY c ORDER BY v) > 1),
+i AS (SELECT c, v, row_number() OVER (ORDER BY c, v) - 1 AS idx FROM k),
+f AS (SELECT o_orderkey, idx FROM orders JOIN i ON c = 'priority' AND v = o_orderpriority
+  UNION ALL SELECT o_orderkey, idx FROM orders JOIN i ON c = 'status' AND v = o_orderstatus
+  UNION ALL SELECT o_orderkey, idx FROM orders JOIN i ON c = 'customer' AND v = CAST(o_custkey AS VARCHAR))
+SELECT o_orderkey, o_totalprice, coalesce(string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx), '') AS indices
+FROM orders LEFT JOIN f USING (o_orderkey) GROUP BY o_orderkey, o_totalprice""",
     "one_hot_drop_first": "SELECT o_orderkey, "
     + ", ".join(f"CASE WHEN o_orderstatus = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS o_orderstatus_{v}" for v in ("O", "P"))
     + ", "

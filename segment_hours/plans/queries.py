@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from segment_hours.config import DATE_KEYS, HOUR_KEYS, PARTITION_KEYS, SEGMENT, WEATHER_FLAGS, WEATHER_ROLLING, Rolling
 from segment_hours.functions import geo, text, time
-from segment_hours.operators import basics, boosting, frame, incidents, model, schedule, spatial, spine, weather
+from segment_hours.operators import basics, boosting, frame, incidents, levels, model, schedule, spatial, spine, weather
 from segment_hours.operators.slices import SLICE, carry
 from segment_hours.plans import fixtures as fx
 from segment_hours.session import scratch_path
@@ -713,6 +713,20 @@ def one_hot_drop_first(spark, sf):
     return coded.toDF(*[c.replace("-", "_").replace(" ", "_") for c in coded.columns])
 
 
+@query
+def encode_levels(spark, sf):
+    """Features of orders: priority, status, and as many customers as there are."""
+    rows = fx.table(spark, sf, "orders").select(
+        "o_orderkey",
+        "o_totalprice",
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_custkey").cast("string").alias("customer"),
+    )
+    coded = levels.encode_levels(rows, ["priority", "status", "customer"])
+    return coded.withColumn("indices", F.array_join("indices", ","))
+
+
 def _regression_rows(spark, sf):
     """Events per segment and hour with one binary predictor."""
     hours = incident_pivot(spark, sf)
