@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -44,6 +45,7 @@ REMEMBERED = 500_000
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 _FOUND = "blob binary, rules array<string>, spans array<struct<kind: string, start: int, end: int>>"
+_LEDGER = f"{_FOUND}, run string"
 
 
 def spans_of(text, rules):
@@ -92,17 +94,20 @@ def versions(docs):
 
 
 def read_ledger(spark, path):
-    """The ledger (blob, rules, spans): one row per scan of a blob. An absent folder is an empty ledger."""
+    """The ledger (blob, rules, spans, run): one row per scan of a blob. An absent folder is an empty ledger."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
-        return spark.read.schema(_FOUND).parquet(path)
-    return spark.createDataFrame([], _FOUND)
+        return spark.read.schema(_LEDGER).parquet(path)
+    return spark.createDataFrame([], _LEDGER)
 
 
 def scan_new(docs, ledger, rules=RULES):
-    """Scans every blob for the rule versions it has not seen and appends the findings to the ``ledger`` folder."""
-    spark = docs.sparkSession
+    """Scans every blob for the rule versions it has not seen and appends the findings to the ``ledger`` folder.
+
+    Returns the name of the run, which its ledger rows carry.
+    """
+    spark, run = docs.sparkSession, uuid.uuid4().hex
     seen = read_ledger(spark, ledger).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
     # One stored version stands for all with the same content.
     blobs = versions(docs).groupBy("blob").agg(F.min("rid").alias("rid"))
@@ -113,17 +118,29 @@ def scan_new(docs, ledger, rules=RULES):
     contents = docs.select(F.xxhash64("doc_id", "text").alias("rid"), text.alias("text"))
     found = contents.join(unseen, "rid").mapInArrow(_scanner(rules), _FOUND)
     found = found.dropDuplicates(["blob"])  # of repeated rows in several tasks
-    found.write.mode("append").parquet(ledger)
+    found.withColumn("run", F.lit(run)).write.mode("append").parquet(ledger)
+    return run
 
 
-def findings(docs, ledger, rules=RULES):
-    """(rid, doc_id, spans) of every stored version: the ledger's spans of the current rule versions, by position."""
+def findings(docs, ledger, rules=RULES, run=None):
+    """(rid, doc_id, spans, n_known) of every stored version: the ledger's spans of the current rule versions.
+
+    ``n_known`` counts the rule versions for which the blob was not scanned by ``run``, as an earlier one had done it.
+    """
     spark = docs.sparkSession
     current = F.array(*[F.lit(r.key) for r in rules])
-    kinds = F.transform(F.array_intersect("rules", current), lambda k: F.substring_index(k, "@", 1))
-    rows = read_ledger(spark, ledger).select("blob", F.filter("spans", lambda s: F.array_contains(kinds, s["kind"])).alias("spans"))
-    # Two runs that overlapped may have scanned a blob twice; equal spans count once.
-    rows = rows.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    valid = F.array_intersect("rules", current)
+    kinds = F.transform(valid, lambda k: F.substring_index(k, "@", 1))
+    rows = read_ledger(spark, ledger).select(
+        "blob",
+        F.filter("spans", lambda s: F.array_contains(kinds, s["kind"])).alias("spans"),
+        F.when(~F.col("run").eqNullSafe(F.lit(run)), valid).alias("known"),
+    )
+    # Two runs that overlapped may have scanned a blob twice; equal spans and rules count once.
+    rows = rows.groupBy("blob").agg(
+        F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("known")))).cast("long").alias("n_known"),
+    )
     return versions(docs).join(rows, "blob").drop("blob")
 
 
@@ -135,8 +152,8 @@ def scan(docs, ledger, rules=RULES):
     not overlapping per kind; further rules add spans. Null text is empty and has no spans. Repeated rows each get
     their row. An empty table gives an empty result.
     """
-    scan_new(docs, ledger, rules)
-    return findings(docs, ledger, rules)
+    run = scan_new(docs, ledger, rules)
+    return findings(docs, ledger, rules, run)
 
 
 def listed(spans, order):
@@ -153,7 +170,7 @@ def count_kind(spans, kind):
 
 
 def digest(found, base=BASE, rules=RULES):
-    """Counts of the base kinds, the hash of their spans, and all spans as text."""
+    """Counts of the base kinds, the hash of their spans, all spans as text, and the rules the last run could skip."""
     kinds = [r.kind for r in base]
     own = F.filter("spans", lambda s: s["kind"].isin(kinds))
     counts = [count_kind("spans", k).alias(f"n_{k}") for k in kinds]
@@ -162,4 +179,5 @@ def digest(found, base=BASE, rules=RULES):
         *counts,
         F.sha2(listed(own, kinds), 256).alias("base_sha256"),
         listed(F.col("spans"), [r.kind for r in rules]).alias("spans"),
+        "n_known",
     )

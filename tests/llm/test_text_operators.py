@@ -191,6 +191,20 @@ def test_secret_scan(spark, docs, pairs, empty, tmp_path):
     assert secret_scan.scan(empty, str(tmp_path / "none")).count() == 0
 
 
+def test_secret_rules_in_two_releases(spark, docs, pairs, tmp_path):
+    ledger, blobs = str(tmp_path / "ledger"), len({t or "" for _, t in pairs})
+    first = secret_scan.scan(docs, ledger, secret_scan.BASE)
+    assert {r["n_known"] for r in first.collect()} == {0}
+    got = secret_scan.digest(secret_scan.scan(docs, ledger)).collect()
+    assert {r[0]: tuple(r)[1:5] for r in got} == {d: plain.op10(t) for d, t in pairs}
+    assert {r["n_known"] for r in got} == {len(secret_scan.BASE)}  # the second release skips them
+    rules = [set(r["rules"]) for r in secret_scan.read_ledger(spark, ledger).collect()]
+    base, more = ({r.key for r in release} for release in (secret_scan.BASE, secret_scan.MORE))
+    assert rules.count(base) == rules.count(more) == blobs and len(rules) == 2 * blobs
+    again = secret_scan.scan(docs.unionByName(docs.limit(1).selectExpr("doc_id", "'one more text' AS text"), True), ledger)
+    assert sorted(r["n_known"] for r in again.collect()) == [0] + [len(secret_scan.RULES)] * len(pairs)
+
+
 def test_language_id(spark, empty):
     rng = random.Random(1)
     sounds = {"aa": "ka to mi re su", "bb": "schl ung acht eit ich", "cc": "ция про ста ние ока"}
