@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from segment_hours.config import DATE_KEYS, HOUR_KEYS, PARTITION_KEYS, SEGMENT, WEATHER_FLAGS, WEATHER_ROLLING, Rolling
 from segment_hours.functions import geo, text, time
 from segment_hours.operators import basics, boosting, frame, incidents, levels, model, schedule, spatial, spine, weather
-from segment_hours.operators.slices import SLICE, carry
+from segment_hours.operators.slices import SLICE, carry, in_order
 from segment_hours.plans import fixtures as fx
 from segment_hours.session import scratch_path
 from segment_hours.sources import feeds, tables
@@ -465,16 +465,14 @@ def schedule_hops(spark, sf):
     return schedule.hops_of_stops(placed).select("train_id", "stanox_dep", "stanox_arr", "daysofweek", "dep_time")
 
 
-# Widths of the train, place and station fields of the timetable text below; 100,000 schedules make a slice.
+# Widths of the train, place and station fields of the timetable text below.
 _TRAIN, _PLACE, _STATION = 6, 6, 5
-_SCHEDULES_PER_SLICE = 100_000
 
 
 @query
 def timetable_lines_to_hops(spark, sf):
     """Fixed-width timetable text of all orders and line items, parsed back to hops; their codes become keys again."""
-    lines = _timetable_lines(spark, sf)
-    hops = schedule.schedule_hops(lines, place=F.floor(F.col("line_no.schedule") / _SCHEDULES_PER_SLICE))
+    hops = schedule.schedule_hops(_timetable_lines(spark, sf))
     train = text.code_number(F.col("train_id"), _TRAIN)
     stations = [text.code_number(F.col(f"stanox_{c}"), _STATION).cast("string").alias(f"stanox_{c}") for c in ("dep", "arr")]
     return hops.select(
@@ -488,43 +486,39 @@ def timetable_lines_to_hops(spark, sf):
 
 
 def _timetable_lines(spark, sf):
-    def number(schedule, line, part, supplier):
-        """Place of a line: schedules in order, their stops by the whole keys."""
-        fields = {"schedule": schedule, "line": line, "part": part, "supplier": supplier}
-        return F.struct(*[c.cast("bigint").alias(n) for n, c in fields.items()]).alias("line_no")
+    """Places, then schedules in order, each with its stops by their whole keys. Keys are sorted, text is built behind the shuffle."""
 
-    def place(supplier):
-        return F.concat(F.lit("T"), text.fixed_code(supplier, _PLACE))
+    def entries(df, schedule, line, part, supplier, *more):
+        keys = {"schedule": schedule, "l_linenumber": line, "l_partkey": part, "supplier": supplier}
+        return df.select(*[c.cast("bigint").alias(n) for n, c in keys.items()], *more)
 
     none = F.lit(0)
-    code = F.when(F.col("s_suppkey") % 10 == 0, 0).otherwise(F.col("s_suppkey") + 10000)
-    suppliers = fx.table(spark, sf, "supplier").select(
-        number(F.lit(-1), none, none, F.col("s_suppkey")),
-        F.concat(F.lit("TI"), place(F.col("s_suppkey")), F.lit(" " * 35), text.fixed_code(code, _STATION)).alias("line"),
+    order = ["schedule", "l_linenumber", "l_partkey", "supplier"]
+    places = entries(fx.table(spark, sf, "supplier"), F.lit(-1), none, none, F.col("s_suppkey"))
+    heads = entries(fx.validity(spark, sf), F.col("o_orderkey"), none, none, none, "start_date", "end_date", "daysofweek")
+    calls = entries(
+        fx.table(spark, sf, "lineitem"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
     )
-    schedules = fx.validity(spark, sf).select(
-        number(F.col("o_orderkey"), none, none, none),
-        F.concat(
-            F.lit("BSN"),
-            text.fixed_code(F.col("o_orderkey"), _TRAIN),
-            F.date_format("start_date", "yyMMdd"),
-            F.date_format("end_date", "yyMMdd"),
-            "daysofweek",
-            F.lit(" " * 13),
-            F.lit("SERVICE1"),
-        ).alias("line"),
+    rows = heads.unionByName(places, allowMissingColumns=True).unionByName(calls, allowMissingColumns=True)
+
+    supplier, stop, minute = F.col("supplier"), F.col("l_linenumber"), fx.dep_minute()
+    code = F.when(supplier % 10 == 0, 0).otherwise(supplier + 10000)
+    place = F.concat(F.lit("T"), text.fixed_code(supplier, _PLACE))
+    insert = F.concat(F.lit("TI"), place, F.lit(" " * 35), text.fixed_code(code, _STATION))
+    head = F.concat(
+        F.lit("BSN"),
+        text.fixed_code(F.col("schedule"), _TRAIN),
+        F.date_format("start_date", "yyMMdd"),
+        F.date_format("end_date", "yyMMdd"),
+        "daysofweek",
+        F.lit(" " * 13),
+        F.lit("SERVICE1"),
     )
-    minute = fx.dep_minute()
     dep, arr = text.minutes_hhmm(minute), text.minutes_hhmm((minute + 1435) % 1440)
-    stop = F.col("l_linenumber")
     kind = F.when(stop == 1, "LO").when(stop == 7, "LT").otherwise("LI")
-    times = F.when(kind == "LI", F.concat(arr, F.lit(" "), dep)).when(kind == "LO", dep).otherwise(arr)
-    stops = fx.table(spark, sf, "lineitem").select(
-        number(F.col("l_orderkey"), stop, F.col("l_partkey"), F.col("l_suppkey")),
-        F.concat(kind, place(F.col("l_suppkey")), F.lit(" "), times).alias("line"),
-    )
-    lines = suppliers.unionByName(schedules).unionByName(stops)
-    return lines.withColumn("archive", F.lit("all.zip"))
+    times = F.when(stop == 1, dep).when(stop == 7, arr).otherwise(F.concat(arr, F.lit(" "), dep))
+    line = F.when(F.col("schedule") == -1, insert).when(stop == 0, head).otherwise(F.concat(kind, place, F.lit(" "), times))
+    return in_order(rows, order, "line_no", [F.lit("all.zip").alias("archive"), line.alias("line")], "timetable")
 
 
 # ---- sorting and sets ----------------------------------------------------------------------------

@@ -49,3 +49,11 @@ def test_scans_read_only_what_they_need(spark):
 def test_rolling_frames_share_one_shuffle(spark):
     text = plan(QUERIES["rolling_flags"](spark, SF))
     assert len(re.findall(r"Exchange hashpartitioning\([^)]*_slice", text)) == 1
+
+
+def test_timetable_text_is_built_once(spark):
+    """The lines are read from their stage; headers, which have no place, do not enter the join with the codes."""
+    text = plan(QUERIES["timetable_lines_to_hops"](spark, SF))
+    assert "lineitem" not in text and "l_orderkey" not in text
+    assert len(re.findall(r"FileScan", text)) <= 6
+    assert not re.findall(r"tiploc[^\n]*LeftOuter", text)

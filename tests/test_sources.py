@@ -178,6 +178,8 @@ def test_hops_do_not_depend_on_the_slices(spark, width):
     assert sorted(map(tuple, schedule_hops(lines, lines_per_slice=width).collect())) == HOPS
     with_terminus = schedule_hops(lines, include_terminus=True, lines_per_slice=width).collect()
     assert len(with_terminus) == 4
+    gaps = lines.withColumn("line_no", F.expr("line_no div 3 * 8589934592 + line_no % 3"))
+    assert sorted(map(tuple, schedule_hops(gaps, lines_per_slice=width).collect())) == HOPS
 
 
 def test_hops_of_archives(spark, tmp_path):

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from segment_hours.functions import text
+from segment_hours.operators.slices import in_order
 from segment_hours.plans import fixtures as fx
 from segment_hours.plans.queries import QUERIES
 
@@ -58,3 +59,14 @@ def test_fixed_codes_are_unique_and_read_back(spark):
     rows = coded.select("n", "code", text.code_number(F.col("code"), 3).alias("back")).collect()
     assert all(len(r.code) == 3 and r.n == r.back for r in rows)
     assert len({r.code for r in rows}) == len(numbers)
+
+
+def test_rows_are_numbered_in_order(spark):
+    rows = [(i * 37 % 1000, None if i % 50 == 0 else i % 7) for i in range(1000)] * 2
+    df = spark.createDataFrame(rows, "a int, b int").repartition(7)
+    got = in_order(df, ["a", "b"], "n").orderBy("n").collect()
+    assert [(r.a, r.b) for r in got] == sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1]))  # repeated rows stay, null first
+    assert len({r.n for r in got}) == len(rows)
+    built = in_order(df, ["a", "b"], "n", [(F.col("a") * 2).alias("twice")])
+    assert built.columns == ["n", "twice"] and [r.twice for r in built.orderBy("n").collect()] == [2 * r.a for r in got]
+    assert in_order(df.limit(0), ["a"], "n").count() == 0
