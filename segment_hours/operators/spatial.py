@@ -16,12 +16,15 @@ from segment_hours.functions.geo import (
     unit_vector,
 )
 from segment_hours.functions.text import segment_id
-from segment_hours.session import cut_lineage
-
-# Search radius of each pass as a share of the widest one.
-_LINE_LEVELS = (1 / 16, 1 / 4, 1.0)
-# A pass is left out where a straight piece of mean length would span more columns of its grid.
-_MAX_COLUMNS = 32
+from segment_hours.session import cut_lineage, spread
+
+# Cells of the first pass are so many times as wide as the mean spacing of points where they are crowded: an entry of a piece in a cell costs
+# about as much as ten comparisons. Its radius is a share of the cell, so that most pieces are listed only in cells that they cross.
+_CROWDED = 3
+_NEAR_SHARE = 1 / 8
+# Cells of the first pass are at least this share of the widest radius, and at most so many along a piece of mean length.
+_FINEST_SHARE = 1 / 64
+_MAX_COLUMNS = 512
 # Cells of stations on the unit sphere: the first level has cells of width 1, each further one splits their edges. The last has
 # cells of less than a metre. A cell with so few stations is not split.
 _CUBE_SPLIT = 4
@@ -59,23 +62,23 @@ def _cell(value, size):
     return F.floor(value / size).cast("bigint")
 
 
-def _search(points, identity, radii, cells_of_points, cover, distance, found):
-    """Nearest shape of each point by passes of growing radius: [(radius, point rows with ``found``)].
+def _search(points, identity, passes, cells_of_points, cover, distance, found):
+    """Nearest shape of each point by passes of growing radius: [(radius, cell, point rows with ``found``)].
 
-    In a pass of radius r every shape is listed in all grid cells (of width r) that touch its
-    surroundings of r, and each point looks into its own cell only. A best distance of at most r is
-    final, as no shape that near can be missing; only the other points go on to the next pass. Dense
-    places are thus settled at the small radii and pairs stay near the number of true neighbours.
+    In a pass (radius, cell) every shape is listed in all grid cells (of width ``cell``) that touch its
+    surroundings of the radius, and each point looks into its own cell only. A best distance of at most
+    the radius is final, as no shape that near can be missing; only the other points go on to the next pass.
     """
     waiting, settled = points, []
-    for radius in radii:
-        pairs = cells_of_points(waiting, radius).join(cover(radius), "_cell")
+    for radius, cell in passes:
+        pairs = cells_of_points(waiting, cell).join(cover(radius, cell), ["_i", "_j"])
         best = pairs.groupBy(*identity).agg(found(distance).alias("_best"))
         best = cut_lineage(best.where(F.col("_best._d") <= radius), "nearest")
-        settled.append((radius, best))
-        if radius == radii[-1]:
+        settled.append((radius, cell, best))
+        if (radius, cell) == passes[-1]:
             break
-        waiting = waiting.join(best, identity, "left_anti")
+        # written, so that Spark knows how few they are
+        waiting = cut_lineage(waiting.join(best, identity, "left_anti"), "waiting")
         if waiting.isEmpty():
             break
     return settled
@@ -95,11 +98,11 @@ def _pieces(lines, geometry):
     return distinct.withColumns({"ux": ux, "uy": uy})
 
 
-def _line_cells(pieces, radius):
-    """Grid cells of width ``radius`` within ``radius`` of each piece, column by column."""
+def _line_cells(pieces, radius, cell):
+    """Grid cells of width ``cell`` within ``radius`` of each piece, column by column."""
     reach = radius * _MARGIN
     low_x, high_x = F.least("x1", "x2"), F.greatest("x1", "x2")
-    columns = F.sequence(_cell(low_x - reach, radius), _cell(high_x + reach, radius))
+    columns = F.sequence(_cell(low_x - reach, cell), _cell(high_x + reach, cell))
     cut = pieces.withColumn("_i", F.explode(columns))
 
     def height(x):
@@ -107,14 +110,29 @@ def _line_cells(pieces, radius):
         slope = (F.col("y2") - F.col("y1")) / F.nullif(F.col("x2") - F.col("x1"), F.lit(0.0))
         return F.col("y1") + slope * (inside - F.col("x1"))
 
-    left, right = height(F.col("_i") * radius - reach), height((F.col("_i") + 1) * radius + reach)
+    left, right = height(F.col("_i") * cell - reach), height((F.col("_i") + 1) * cell + reach)
     bottom = F.coalesce(F.least(left, right), F.least("y1", "y2"))
     top = F.coalesce(F.greatest(left, right), F.greatest("y1", "y2"))
     # the clipped heights of a near-vertical piece can round past its ends
     bottom = F.greatest(F.least("y1", "y2"), bottom)
     top = F.least(F.greatest("y1", "y2"), top)
-    rows = F.sequence(_cell(bottom - reach, radius), _cell(top + reach, radius))
-    return cut.withColumn("_j", F.explode(rows)).withColumn("_cell", F.struct("_i", "_j")).drop("_i", "_j")
+    rows = F.sequence(_cell(bottom - reach, cell), _cell(top + reach, cell))
+    return cut.withColumn("_j", F.explode(rows))
+
+
+def _line_passes(spots, pieces, cells_of_points, max_distance):
+    """Radius and cell width of each pass: a narrow one by how crowded the points and how long the pieces are, then the widest.
+
+    Narrow cells cost entries of pieces, wide ones comparisons; both are least together where cells are a few times as wide as the spacing of
+    the points. Work then grows with the points times the root of their density, not with points times lines.
+    """
+    counts = cells_of_points(spots, max_distance).groupBy("_i", "_j").agg(F.count("*").cast("double").alias("n"))
+    crowd = counts.agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("crowd"))
+    length = pieces.agg(F.avg(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))).alias("length"))
+    crowd, length = crowd.crossJoin(length).first()
+    cell = max_distance * max(_CROWDED / max(crowd or 1.0, 1.0) ** 0.5, _FINEST_SHARE)
+    cell = min(max(cell, (length or 0.0) / _MAX_COLUMNS), max_distance)
+    return [(cell * _NEAR_SHARE, cell), (max_distance, max_distance)]
 
 
 def nearest_lines(points, lines, easting, northing, geometry, max_distance=MAX_DISTANCE_M):
@@ -126,29 +144,30 @@ def nearest_lines(points, lines, easting, northing, geometry, max_distance=MAX_D
     """
     vertices = F.transform(geometry, lambda p: F.concat_ws(",", p["x"], p["y"]))
     named = lines.withColumn("_line", F.md5(F.concat_ws(";", vertices)))
-    pieces = _pieces(named, geometry)
+    corners = ["x1", "y1", "x2", "y2"]
+    of_lines = cut_lineage(_pieces(named, geometry), "pieces")
+    pieces = of_lines.drop("_line").distinct()
     spots = points.select(F.col(easting).alias("_x"), F.col(northing).alias("_y")).dropna().distinct()
+    spots = cut_lineage(spots, "spots")
 
-    def cells_of_points(df, radius):
-        return df.withColumn(
-            "_cell", F.struct(_cell(F.col("_x"), radius).alias("_i"), _cell(F.col("_y"), radius).alias("_j"))
-        )
+    def cells_of_points(df, cell):
+        return df.withColumns({"_i": _cell(F.col("_x"), cell), "_j": _cell(F.col("_y"), cell)})
 
-    def cover(radius):
-        return _line_cells(pieces, radius)
+    def cover(radius, cell):
+        # few rows that each become many: merged by size they would be one task's work
+        return _line_cells(spread(pieces, *corners), radius, cell)
 
-    distance = segment_distance(*(F.col(c) for c in ("_x", "_y", "x1", "y1", "x2", "y2", "ux", "uy")))
-    length = pieces.agg(F.avg(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1"))))).first()[0]
-    finest = (length or 0.0) / _MAX_COLUMNS
-    radii = [max_distance * s for s in _LINE_LEVELS if s == 1.0 or max_distance * s >= finest]
+    distance = segment_distance(*(F.col(c) for c in ("_x", "_y", *corners, "ux", "uy")))
+    passes = _line_passes(spots, pieces, cells_of_points, max_distance)
     settled = _search(
-        spots, ["_x", "_y"], radii, cells_of_points, cover, distance, lambda d: F.struct(F.min(d).alias("_d"))
+        spots, ["_x", "_y"], passes, cells_of_points, cover, distance, lambda d: F.struct(F.min(d).alias("_d"))
     )
     ties = []
-    for radius, best in settled:
-        at = cells_of_points(best, radius).join(cover(radius), "_cell")
-        ties.append(at.where(distance == F.col("_best._d")).select("_x", "_y", "_best._d", "_line").distinct())
-    pairs = functools.reduce(lambda a, b: a.unionByName(b), ties)
+    for radius, cell, best in settled:
+        at = cells_of_points(best, cell).join(cover(radius, cell), ["_i", "_j"])
+        ties.append(at.where(distance == F.col("_best._d")).select("_x", "_y", "_best._d", *corners))
+    nearest = functools.reduce(lambda a, b: a.unionByName(b), ties)
+    pairs = nearest.join(of_lines, corners).select("_x", "_y", "_d", "_line").distinct()
     return pairs.join(named.drop(geometry), "_line").select(
         F.col("_x").alias(easting),
         F.col("_y").alias(northing),

@@ -264,6 +264,26 @@ def test_nearest_lines_match_brute_force(spark, scale):
             assert got[x, y]["ELR"] == name and got[x, y]["DIST_M"] == pytest.approx(distance, abs=1e-6)
 
 
+def test_crowded_points_meet_few_lines(spark, monkeypatch):
+    rng = random.Random(5)
+
+    points = [(rng.uniform(0, 4000), rng.uniform(0, 4000)) for _ in range(4000)]
+    points = spark.createDataFrame(points, "EASTING double, NORTHING double")
+    lines = [(i, [(-20000.0, rng.uniform(0, 4000)), (24000.0, rng.uniform(0, 4000))]) for i in range(300)]
+    lines = spark.createDataFrame(lines, "ELR long, geometry array<struct<x: double, y: double>>")
+    seen, search = [], spatial._search
+
+    def spy(spots, identity, passes, cells_of_points, cover, *rest):
+        grids = [p if isinstance(p, tuple) else (p,) for p in passes]
+        seen.extend(cells_of_points(spots, g[-1]).join(cover(*g), ["_i", "_j"] if len(g) > 1 else "_cell").count() for g in grids[:1])
+        return search(spots, identity, passes, cells_of_points, cover, *rest)
+
+    monkeypatch.setattr(spatial, "_search", spy)
+    nearest = spatial.nearest_lines(points, lines, "EASTING", "NORTHING", "geometry")
+    assert nearest.select("EASTING", "NORTHING").distinct().count() == 4000
+    assert seen[0] < 4000 * 300 / 5
+
+
 def test_ties_and_copies_of_a_line(spark):
     def track(*rows):
         return spark.createDataFrame(list(rows), "ELR string, START double, geometry array<struct<x: double, y: double>>")
