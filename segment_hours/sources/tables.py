@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segment_hours.config import MONTH_KEYS, PARTITION_KEYS
+from segment_hours.config import MONTH_KEYS, PARTITION_KEYS, SEGMENT
 from segment_hours.functions.time import as_range, ntz
 from segment_hours.sources import files, versions
 from segment_hours.sources.files import path_exists
 
 _FORMATS = ("csv", "json", "parquet")
 _WRITE_MODES = ("append", "overwrite", "ignore")
+# A window of at most so many months is dealt to so many writers, each with a file a month; Spark merges or splits them by size.
+_FEW_MONTHS = 2
+_WRITERS = 16
 
 
 def table_format(path):
@@ -80,18 +83,22 @@ def get_or_build(spark, path, build, schema=None):
 
 
 def write_partitioned(
-    df, root, keys=tuple(MONTH_KEYS), mode="overwrite", sort=(), codec="snappy", rows_per_file=None
+    df, root, keys=tuple(MONTH_KEYS), mode="overwrite", sort=(), codec="snappy", rows_per_file=None, deal=None
 ):
     """Hive-partitioned Parquet; by default only the partitions present in ``df`` are replaced.
 
     Rows are brought together by partition first, so that a task keeps one writer open at a time and a
     partition is not scattered over one file per task. ``sort`` orders the rows of a partition, which
-    lets a scan skip row groups; ``rows_per_file`` splits large partitions.
+    lets a scan skip row groups; ``rows_per_file`` splits large partitions, and ``deal`` (a column) deals the rows of a
+    partition to tasks, so that several write one large partition.
     """
     if mode not in _WRITE_MODES:
         raise ValueError(f"mode must be one of {_WRITE_MODES}, not {mode!r}")
     # rebalance (unlike repartition) lets AQE split a partition that holds a large share of the rows
-    balanced = df.hint("rebalance", *[F.col(k) for k in keys])
+    if deal is None:
+        balanced = df.hint("rebalance", *[F.col(k) for k in keys])
+    else:
+        balanced = df.withColumn("_writer", deal).hint("rebalance", *[F.col(k) for k in keys], F.col("_writer")).drop("_writer")
     if sort:
         balanced = balanced.sortWithinPartitions(*keys, *sort)
     writer = balanced.write.mode(mode).option("compression", codec)
@@ -112,6 +119,9 @@ def write_window(df, root, start, end, keys=tuple(MONTH_KEYS), **options):
     versions.check_dates(df)
     first, last = as_range(start, end)
     hour = F.make_timestamp_ntz("year", "month", "day", "hour", F.lit(0), F.lit(0))
+    months = (last.year - first.year) * 12 + last.month - first.month + 1
+    if months <= _FEW_MONTHS and SEGMENT in df.columns and set(keys) <= set(MONTH_KEYS):
+        options.setdefault("deal", F.pmod(F.hash(SEGMENT), F.lit(_WRITERS)))
     name, folder = versions.new_write(spark, root, df.schema, keys)
     write_partitioned(df.where((hour >= ntz(first)) & (hour <= ntz(last))), folder, keys, mode="append", **options)
     return versions.publish(spark, root, name, df.schema, keys, (start, end))

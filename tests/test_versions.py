@@ -204,3 +204,17 @@ def test_period_files_outside_the_calendar_are_not_opened(spark, tmp_path):
     assert [tuple(r) for r in got.distinct().orderBy("id").collect()] == [("202324", "P02", 0), ("202324", "P02", 1)]
     none = tables.read_period_files(spark, str(tmp_path), "parquet", "id long", calendar.limit(0))
     assert none.columns == got.columns and none.count() == 0
+
+
+def test_month_of_a_window_is_written_by_several_tasks(spark, tmp_path):
+    root, name = str(tmp_path / "t"), "spark.sql.adaptive.coalescePartitions.enabled"
+    rows = [(f"S{i}", JAN, i) for i in range(40)]
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        tables.write_window(_rows(spark, rows), root, "2024-01-08", "2024-01-14 23:00")
+    finally:
+        spark.conf.set(name, before)
+    assert len(list(Path(root).glob("_data/*/year=2024/month=1/part-*.parquet"))) > 1
+    assert len(list(Path(root).glob("_data/*/*/*/"))) == spark.read.parquet(f"{root}/_index").count() == 1
+    assert _stored(spark, root) == sorted(rows)
