@@ -129,7 +129,7 @@ def _line_passes(spots, pieces, cells_of_points, max_distance):
     counts = cells_of_points(spots, max_distance).groupBy("_i", "_j").agg(F.count("*").cast("double").alias("n"))
     crowd = counts.agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("crowd"))
     length = pieces.agg(F.avg(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))).alias("length"))
-    crowd, length = crowd.crossJoin(length).first()
+    crowd, length = crowd.first()[0], length.first()[0]
     cell = max_distance * max(_CROWDED / max(crowd or 1.0, 1.0) ** 0.5, _FINEST_SHARE)
     cell = min(max(cell, (length or 0.0) / _MAX_COLUMNS), max_distance)
     return [(cell * _NEAR_SHARE, cell), (max_distance, max_distance)]

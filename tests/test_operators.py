@@ -413,3 +413,15 @@ def test_small_steps(spark):
     assert basics.time_range(at, "ts", hours(2), hours(2), buffer=dt.timedelta(hours=1)).count() == 3
     dated = at.select("ts", F.year("ts").alias("year"), F.month("ts").alias("month"), F.day("ts").alias("day"), F.hour("ts").alias("hour"))
     assert basics.stored_time_range(dated, hours(1), hours(3)).count() == 3
+
+
+def test_dates_are_made_once_a_day_and_keys_sorted_by_a_number(spark):
+    """Date columns stand below the unfolding of hours, and the joins of the frame sort a hash of the keys first."""
+    hours = spine.hourly_spine(spark.createDataFrame([("A",), ("B",)], "ELR_MIL string"), "2024-02-28", "2024-03-01 23:00")
+    text = hours._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Generate explode(sequence(greatest") < text.index("dayofyear")
+    assert hours.where("year = 2024 and month = 2 and day = 29").count() == 48
+    table = hours.select(*HOUR_KEYS, F.lit(1).alias("n"))
+    wide = frame.modelling_frame(hours, table.hint("merge"), table.withColumnRenamed("n", "m").hint("merge"))
+    assert "Sort [_key" in wide._jdf.queryExecution().executedPlan().toString()
+    assert "_key" not in wide.columns and wide.where("n = 1 and m = 1").count() == wide.count() == 144
