@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -70,3 +71,11 @@ def test_rows_are_numbered_in_order(spark):
     built = in_order(df, ["a", "b"], "n", [(F.col("a") * 2).alias("twice")])
     assert built.columns == ["n", "twice"] and [r.twice for r in built.orderBy("n").collect()] == [2 * r.a for r in got]
     assert in_order(df.limit(0), ["a"], "n").count() == 0
+
+
+def test_codes_make_methods_that_are_compiled(spark, capsys):
+    """The JVM leaves methods of more than 8,000 bytes to its interpreter."""
+    numbers = spark.range(5).select(*[text.fixed_code(F.col("id") + i, 6).alias(f"c{i}") for i in range(6)])
+    numbers.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert max(sizes) < 8000
