@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import math
 import random
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from segment_hours.config import HOUR_KEYS, Flag, Rolling
-from segment_hours.operators import basics, frame, incidents, schedule, spatial, spine, weather
+from segment_hours.operators import basics, frame, incidents, model, schedule, spatial, spine, weather
 from segment_hours.operators.slices import SLICE, carry, last_known, next_known, next_larger, sum_so_far
 
 T0 = dt.datetime(2024, 1, 1)
@@ -425,3 +426,18 @@ def test_dates_are_made_once_a_day_and_keys_sorted_by_a_number(spark):
     wide = frame.modelling_frame(hours, table.hint("merge"), table.withColumnRenamed("n", "m").hint("merge"))
     assert "Sort [_key" in wide._jdf.queryExecution().executedPlan().toString()
     assert "_key" not in wide.columns and wide.where("n = 1 and m = 1").count() == wide.count() == 144
+
+
+def test_split_of_the_frame_by_predictors_alone(spark):
+    """Dates of the unfolded hours stay where a filter needs them, though no predictor does."""
+    grid = spine.hourly_spine(spark.createDataFrame([("A",), ("B",)], "ELR_MIL string"), "2024-02-28", "2024-03-01 23:00")
+    sky = grid.select(*HOUR_KEYS, (F.col("day") * 100 + F.col("hour")).cast("double").alias("t"))
+    wide = frame.modelling_frame(grid, sky, sky.withColumnRenamed("t", "INCIDENT_A")).drop("day_of_week")
+    rows, _, columns, names = model.design(wide, keys=tuple(HOUR_KEYS))
+    kept = model.hash_split(rows, HOUR_KEYS).where("part != 0")
+    seen = kept.agg(*[f(c).alias(f"{f.__name__}_{n}") for c, n in zip(columns, names, strict=True) for f in (F.count, F.sum)]).first()
+    keys = [(s, 2024, m, d, h) for s in "AB" for m, d in ((2, 28), (2, 29), (3, 1)) for h in range(24)]
+    own = [k for k in keys if int(hashlib.md5("|".join(map(str, k)).encode()).hexdigest()[:8], 16) % 5]
+    assert {seen[f"count_{n}"] for n in names} == {len(own)}
+    assert seen["sum_t"] == sum(k[3] * 100 + k[4] for k in own)
+    assert seen["sum_sin_doy"] == pytest.approx(sum(math.sin(2 * math.pi * (dt.date(*k[1:4]).timetuple().tm_yday) / 365.25) for k in own))
