@@ -92,7 +92,9 @@ def mix(docs, labels, weights=WEIGHTS, most=MOST_EPOCHS, rows_per_slice=ROWS_PER
     )
     within = Window.partitionBy("source", "slice").orderBy("key", "rid").rowsBetween(Window.unboundedPreceding, 0)
     summed = sliced.withColumn("upto", F.sum("size").over(within))
-    placed = summed.join(base, F.col("source").eqNullSafe(F.col("own")) & (F.col("slice") == F.col("part")))
+    # Every slice has its row. Outer, so that the rows are not the side that is broadcast when they are done first: a rerun
+    # gives them in the same order.
+    placed = summed.join(base, F.col("source").eqNullSafe(F.col("own")) & (F.col("slice") == F.col("part")), "left")
     before = F.col("base") + F.col("upto") - F.col("size")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     budget = F.col("target") - F.col("epochs") * F.col("source_size")

@@ -238,6 +238,12 @@ def test_mixing(spark, docs, empty):
     assert mixing.repeat_to_mix(docs, labels).columns == docs.columns
 
 
+def test_rows_of_the_mix_come_in_one_order(spark, docs):
+    """The rows are never the side of the last join that is broadcast, which side ever is done first."""
+    text = mixing.mix(docs, None, rows_per_slice=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert next(line for line in text.splitlines() if "Join" in line).strip(" +-:").startswith("Join LeftOuter")
+
+
 def test_mixing_targets_are_shared_again(spark):
     sizes = spark.createDataFrame([("a", 10, 1), ("b", 100, 1), (None, 1000, 1)], "source string, source_size long, n_rows long")
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
